@@ -114,6 +114,7 @@ def salted_join(
     hot_rows: int = 500_000,
     max_salts: int = 256,
     hint: str | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Equi-join whose heaviest left keys are split over several tasks.
 
@@ -121,6 +122,7 @@ def salted_join(
     rows is cut into ``ceil(rows / hot_rows)`` salts by a hash of the whole left row (so a
     retried task salts alike); the matching right rows are repeated once per salt. Rows with a
     null key match nothing and are spread too. ``how`` is inner, left, left_semi or left_anti.
+    ``rows``: a count of the left rows, if the caller has one; no key can be hot within it.
     Duplicate column names outside ``on`` are the caller's to avoid.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -130,7 +132,7 @@ def salted_join(
     for c in on:
         any_null = any_null | F.col(c).isNull()
     spark = left.sparkSession
-    found = hot_keys(left, on, hot_rows)
+    found = hot_keys(left, on, hot_rows) if rows is None or rows > hot_rows else []
     right = right.hint(hint) if hint else right
     if not found:
         return left.join(right, on, how)
