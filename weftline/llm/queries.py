@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftline.llm.components import connected_components
 from weftline.llm.cooccurrence import cooccurrence
 from weftline.llm.quota_sample import cell_members, current_rows, plan_quotas, quota_sample
+from weftline.llm.setsim import link_counts, record_pairs, similar_sets
 from weftline.llm.topn import top_n_per_group
 from weftline.runtime import materialize, squeeze
 from weftline.sources.tables import table
@@ -36,6 +37,43 @@ P1_FOUND_SQL = _P1 + "SELECT item_a AS tag_a, item_b AS tag_b FROM x WHERE n_ab
 P1_PAIRS_SQL = _P1 + """SELECT *, round(n_ab * n::DOUBLE / (n_a::DOUBLE * n_b), 6) AS lift, round(log2(n_ab * n::DOUBLE / (n_a::DOUBLE * n_b)), 6) AS pmi
 FROM x WHERE n_ab >= 2"""
 
+# --- 2 similar pairs between set-valued records
+
+
+def _set_fields(companies: DataFrame) -> dict:
+    return {"tag_ids": companies["tag_ids"], "source_tags": F.transform(companies["source_tags"], lambda x: F.lower(squeeze(x)))}
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    companies = table(spark, d, "companies")
+    out = None
+    for name, values in _set_fields(companies).items():
+        pairs = record_pairs(*similar_sets(companies, "company_id", values, 0.7, min_size=4))
+        one = pairs.select(F.lit(name).alias("field_name"), F.col("record_a").alias("company_a"), F.col("record_b").alias("company_b"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def p2_links(spark: SparkSession, d: str) -> DataFrame:
+    """One row per company and field with its class of equal sets and its number of partners."""
+    companies = table(spark, d, "companies")
+    out = None
+    for name, values in _set_fields(companies).items():
+        one = link_counts(*similar_sets(companies, "company_id", values, 0.7, min_size=4)).select(F.lit(name).alias("field_name"), F.col("record").alias("company_id"), "class_id", "links")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+P2_FOUND_SQL = r"""
+WITH e AS (SELECT DISTINCT 'tag_ids' AS field_name, company_id, unnest(tag_ids) AS v FROM companies
+  UNION SELECT 'source_tags', company_id, lower(trim(regexp_replace(v, '\s+', ' ', 'g'))) FROM (SELECT company_id, unnest(source_tags) AS v FROM companies)),
+f AS (SELECT * FROM e WHERE v IS NOT NULL), n AS (SELECT field_name, company_id, count(*) AS n FROM f GROUP BY ALL HAVING count(*) >= 4),
+g AS (SELECT f.* FROM f JOIN n USING (field_name, company_id)),
+p AS (SELECT a.field_name, a.company_id AS company_a, b.company_id AS company_b, count(*) AS k FROM g a JOIN g b ON a.field_name = b.field_name AND a.v = b.v AND a.company_id < b.company_id GROUP BY ALL)
+SELECT p.field_name, company_a, company_b FROM p JOIN n x ON x.field_name = p.field_name AND x.company_id = company_a
+JOIN n y ON y.field_name = p.field_name AND y.company_id = company_b WHERE k * 10 >= 7 * (x.n + y.n - k)
+"""
+
 # --- 4 sample matching target category proportions
 
 
@@ -138,7 +176,7 @@ SELECT a AS tag_id, least(a, min(b)) AS group_id FROM r GROUP BY a
 """
 
 QUERIES = {
-    "p1_found": p1_found, "p1_pairs": p1_pairs, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report,
+    "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_links": p2_links, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report,
     "p6_found": p6_found, "p7_found": p7_found,
 }
-ORACLES = {"p1_found": P1_FOUND_SQL, "p1_pairs": P1_PAIRS_SQL, "p4_found": P4_FOUND_SQL, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL}
+ORACLES = {"p1_found": P1_FOUND_SQL, "p1_pairs": P1_PAIRS_SQL, "p2_found": P2_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL}
