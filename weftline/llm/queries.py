@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm.components import connected_components
 from weftline.llm.cooccurrence import cooccurrence
+from weftline.llm.leakage import leaked_passages
 from weftline.llm.quota_sample import cell_members, current_rows, plan_quotas, quota_sample
 from weftline.llm.setsim import link_counts, record_pairs, similar_sets
 from weftline.llm.topn import top_n_per_group
@@ -175,8 +176,30 @@ r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
 SELECT a AS tag_id, least(a, min(b)) AS group_id FROM r GROUP BY a
 """
 
+# --- 8 evaluation texts leaking into training text
+
+
+def p8_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Every leak within two edits a passage, with the share of the item that is covered."""
+    found = leaked_passages(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return found.withColumn("covered", F.round(F.col("passage_words") / F.col("item_words"), 6))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    found = leaked_passages(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return found.where("edits = 0").select("doc_id", "item_id")
+
+
+P8_FOUND_SQL = r"""
+WITH d AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), ' ') || ' ' AS t FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items),
+p AS (SELECT DISTINCT item_id, ' ' || array_to_string(list_slice(w, k, k + least(12, len(w)) - 1), ' ') || ' ' AS t
+  FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(12, len(w)) + 1)) AS k FROM i WHERE len(w) > 0))
+SELECT DISTINCT doc_id, item_id FROM d JOIN p ON contains(d.t, p.t)
+"""
+
 QUERIES = {
     "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_links": p2_links, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report,
-    "p6_found": p6_found, "p7_found": p7_found,
+    "p6_found": p6_found, "p7_found": p7_found, "p8_found": p8_found, "p8_passages": p8_passages,
 }
-ORACLES = {"p1_found": P1_FOUND_SQL, "p1_pairs": P1_PAIRS_SQL, "p2_found": P2_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL}
+ORACLES = {"p1_found": P1_FOUND_SQL, "p1_pairs": P1_PAIRS_SQL, "p2_found": P2_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL, "p8_found": P8_FOUND_SQL}
