@@ -9,6 +9,7 @@ from weftline.llm.components import connected_components
 from weftline.llm.cooccurrence import cooccurrence
 from weftline.llm.leakage import leaked_passages
 from weftline.llm.quota_sample import cell_members, current_rows, plan_quotas, quota_sample
+from weftline.llm.residue import is_residue, mine_templates, residue_documents
 from weftline.llm.setsim import link_counts, record_pairs, similar_sets
 from weftline.llm.topn import top_n_per_group
 from weftline.runtime import materialize, squeeze
@@ -198,8 +199,28 @@ p AS (SELECT DISTINCT item_id, ' ' || array_to_string(list_slice(w, k, k + least
 SELECT DISTINCT doc_id, item_id FROM d JOIN p ON contains(d.t, p.t)
 """
 
+# --- 10 template residue and error-page text
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue_documents(table(spark, d, "documents")).where(is_residue()).select("doc_id")
+
+
+def p10_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The documents without those found."""
+    docs = table(spark, d, "documents")
+    return docs.join(residue_documents(docs).where(is_residue()).select("doc_id"), "doc_id", "left_anti").select("doc_id", "source", "n_chars")
+
+
+def p10_templates(spark: SparkSession, d: str) -> DataFrame:
+    """The mined templates that occur at least twice, with their verdicts."""
+    t = mine_templates(table(spark, d, "documents"))
+    return t.groupBy("template", "verdict").agg(F.sum("n").alias("units")).where("units > 1")
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_links": p2_links, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report,
     "p6_found": p6_found, "p7_found": p7_found, "p8_found": p8_found, "p8_passages": p8_passages,
+    "p10_found": p10_found, "p10_clean": p10_clean, "p10_templates": p10_templates,
 }
 ORACLES = {"p1_found": P1_FOUND_SQL, "p1_pairs": P1_PAIRS_SQL, "p2_found": P2_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL, "p8_found": P8_FOUND_SQL}
