@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftline.llm.components import connected_components
 from weftline.llm.cooccurrence import cooccurrence
 from weftline.llm.leakage import leaked_passages
+from weftline.llm.mixture import count_tokens, distinct_texts, mix_report, mix_sources
 from weftline.llm.quota_sample import cell_members, current_rows, plan_quotas, quota_sample
 from weftline.llm.residue import is_residue, mine_templates, residue_documents
 from weftline.llm.setsim import link_counts, record_pairs, similar_sets
@@ -199,6 +200,24 @@ p AS (SELECT DISTINCT item_id, ' ' || array_to_string(list_slice(w, k, k + least
 SELECT DISTINCT doc_id, item_id FROM d JOIN p ON contains(d.t, p.t)
 """
 
+# --- 9 mixing sources to target weights
+
+
+def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    texts = materialize(distinct_texts(count_tokens(table(spark, d, "documents"), "doc_kind")), "tokens")
+    targets = table(spark, d, "mix_targets").select("source", (F.col("target_permille") / 1000).alias("target_share"), "max_repeats").distinct()
+    return texts, mix_sources(texts, targets), targets
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The drawn documents, with how often each is used."""
+    return _mixture(spark, d)[1]
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    return mix_report(*_mixture(spark, d))
+
+
 # --- 10 template residue and error-page text
 
 
@@ -221,6 +240,6 @@ def p10_templates(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_links": p2_links, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report,
     "p6_found": p6_found, "p7_found": p7_found, "p8_found": p8_found, "p8_passages": p8_passages,
-    "p10_found": p10_found, "p10_clean": p10_clean, "p10_templates": p10_templates,
+    "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_clean": p10_clean, "p10_templates": p10_templates,
 }
 ORACLES = {"p1_found": P1_FOUND_SQL, "p1_pairs": P1_PAIRS_SQL, "p2_found": P2_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL, "p8_found": P8_FOUND_SQL}
