@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weftline.plans import integrity
+from weftline.plans import directory, integrity, judging, vectors
 
-MODULES = (integrity,)
+MODULES = (judging, vectors, directory, integrity)
 
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in MODULES for k, v in m.ORACLES.items()}
