@@ -125,8 +125,11 @@ def apply_filters(companies: DataFrame, spec: FilterSpec, tags: DataFrame | None
 
 def facet_counts(companies: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """facet, value, n: all facets in one pass (each row unpivots to its values); arrays count each distinct value."""
-    arrays = [F.transform(F.array_distinct(a), lambda v, k=k: F.struct(F.lit(k).alias("facet"), v.alias("value"))) for k, a in columns.items()]
-    rows = companies.select(F.explode(F.flatten(F.array(*arrays))).alias("f")).select("f.*").where("value IS NOT NULL AND value <> ''")
+
+    def named(k: str, a: Column) -> Column:
+        return F.transform(F.array_distinct(a), lambda v: F.struct(F.lit(k).alias("facet"), v.alias("value")))
+
+    rows = companies.select(F.explode(F.flatten(F.array(*(named(k, a) for k, a in columns.items())))).alias("f")).select("f.*").where("value IS NOT NULL AND value <> ''")
     return rows.groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
 
 

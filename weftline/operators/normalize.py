@@ -96,7 +96,10 @@ def description_document() -> Column:
 
 def taxonomy_counts(companies: DataFrame, kinds: dict[str, Column]) -> DataFrame:
     """kind, slug, name, company_count of derived terms; ``kinds`` maps a kind to an array column."""
-    values = F.explode(F.flatten(F.array(*(F.transform(a, lambda v, k=k: F.struct(F.lit(k).alias("kind"), v.alias("name"))) for k, a in kinds.items()))))
+    def named(k: str, a: Column) -> Column:
+        return F.transform(a, lambda v: F.struct(F.lit(k).alias("kind"), v.alias("name")))
+
+    values = F.explode(F.flatten(F.array(*(named(k, a) for k, a in kinds.items()))))
     terms = companies.select(values.alias("t")).select("t.*").where("name IS NOT NULL AND trim(name) <> ''").withColumn("slug", slugify(F.col("name")))
     return terms.groupBy("kind", "slug").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("company_count"))
 

@@ -103,7 +103,7 @@ def project(vectors: DataFrame, neighbors: int = 25, min_dist: float = 0.08, see
     graph = both.where("id < neighbor_id").select("id", "neighbor_id", (F.col("p") + F.col("q") - F.col("p") * F.col("q")).alias("w"))
     a, b = curve_parameters(min_dist)
     rows = graph.select("id", "neighbor_id", "w", F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y")).unionByName(start.select("id", F.lit(None).cast("long").alias("neighbor_id"), F.lit(None).cast("double").alias("w"), "x", "y"))
-    return rows.groupBy(F.lit(0)).applyInPandas(_layout(seed, epochs, a, b), "id long, x double, y double")
+    return rows.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_layout(seed, epochs, a, b), "id long, x double, y double")
 
 
 def rescale(points: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ def rescale(points: DataFrame) -> DataFrame:
     centred = points.join(F.broadcast(m), F.lit(True)).select("id", (F.col("x") - F.col("mx")).alias("x"), (F.col("y") - F.col("my")).alias("y"))  # one row
     scale = centred.select(F.explode(F.array(F.abs("x"), F.abs("y"))).alias("v")).agg(F.percentile("v", 0.99).alias("s"))
     safe = F.when(F.col("s") > 0, F.col("s")).otherwise(1.0)
-    return centred.join(F.broadcast(scale), F.lit(True)).select("id", F.round(F.col("x") / safe, 4).alias("x"), F.round(F.col("y") / safe, 4).alias("y"))
+    return centred.join(F.broadcast(scale), F.lit(True)).select("id", (F.round(F.col("x") / safe, 4) + 0.0).alias("x"), (F.round(F.col("y") / safe, 4) + 0.0).alias("y"))
 
 
 def alignment_sums(now: DataFrame, before: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def ranked_tags() -> Column:
 
 
 def compact_index(companies: DataFrame) -> DataFrame:
-    """Short keys; blanks and empty lists become null (null keys vanish from the JSON); zero counts stay."""
+    """The columns of the index; blanks and empty lists become null; zero counts stay. ``index_json`` gives them their short keys."""
     r = companies.withColumn("_r", ranked_tags())
     out = []
     for key, name in COMPANY_KEYS.items():
@@ -44,27 +44,29 @@ def compact_index(companies: DataFrame) -> DataFrame:
             c = F.when(F.size(c) > 0, c)
         elif kind == "string" and key not in ("i", "n", "o"):
             c = F.nullif(c, F.lit(""))
-        out.append(c.alias(key))
+        out.append(c.alias(name))
     return r.select(*out)
 
 
 def index_json(compact: DataFrame) -> DataFrame:
-    return compact.select(F.col("i").alias("company_id"), F.to_json(F.struct(*compact.columns)).alias("row"))
+    """company_id, row: JSON with the short keys, nulls left out."""
+    short = {name: key for key, name in COMPANY_KEYS.items()}
+    return compact.select("company_id", F.to_json(F.struct(*(F.col(c).alias(short[c]) for c in compact.columns))).alias("row"))
 
 
 def expand_index(compact: DataFrame) -> DataFrame:
     """The inverse projection, with defaults for what was left out."""
-    lists = {"r": "array<string>", "k": "array<string>", "T": "array<string>", "S": "array<double>"}
+    lists = {"regions": "array<string>", "source_tags": "array<string>", "tag_ids": "array<string>", "tag_scores": "array<double>"}
     out = []
-    for key in compact.columns:
-        c: Column = F.col(key)
-        if key in lists:
-            c = F.coalesce(c, F.array().cast(lists[key]))
-        elif key in ("p", "h", "z"):
+    for name in compact.columns:
+        c: Column = F.col(name)
+        if name in lists:
+            c = F.coalesce(c, F.array().cast(lists[name]))
+        elif name in ("top_company", "is_hiring", "nonprofit"):
             c = F.coalesce(c, F.lit(0)) == 1
-        elif key == "o":
+        elif name == "one_liner":
             c = F.coalesce(c, F.lit(""))
-        out.append(c.alias(COMPANY_KEYS[key]))
+        out.append(c.alias(name))
     return compact.select(*out)
 
 

@@ -106,8 +106,8 @@ def cdc_incremental(spark: SparkSession, d: str) -> DataFrame:
     return N.incremental(now, before, "company_id", "content_hash").groupBy("change").agg(F.count(F.lit(1)).alias("n"))
 
 
-AND_FILTER = FilterSpec(year_from=2015, statuses=["Active"], regions=["Remote", "Inland", "North Coast"], min_score=0.5, tags=["transit-surveys"])
-OR_FILTER = FilterSpec(industries=["Healthcare", "Mining"], subindustries=["Consumer -> Security"], tags=["transit-surveys", "fleet-procurement", "data-reporting"], tag_mode="or", is_hiring=True)
+AND_FILTER = FilterSpec(year_from=2015, statuses=["Active"], regions=["Remote", "Inland", "North Coast"], min_score=0.5, tags=["escrow-storage"])
+OR_FILTER = FilterSpec(industries=["Healthcare", "Business Software"], subindustries=["Consumer -> Security"], tags=["escrow-storage", "factory-imaging", "grid-sampling"], tag_mode="or", is_hiring=True)
 
 
 def filter_conjunctive(spark: SparkSession, d: str) -> DataFrame:
@@ -197,7 +197,10 @@ def neighbor_explanations(spark: SparkSession, d: str) -> DataFrame:
 
 def compact_index(spark: SparkSession, d: str) -> DataFrame:
     c = P.compact_index(companies(spark, d))
-    return c.select("i", "n", "o", "b", F.col("y").cast("bigint").alias("y"), F.array_join("r", "|").alias("r"), F.col("p").cast("bigint").alias("p"), F.size("T").cast("bigint").alias("tags"), F.element_at("S", 1).alias("best"))
+    return c.select(
+        "company_id", "name", "one_liner", "batch", F.col("batch_year").cast("bigint").alias("batch_year"), F.array_join("regions", "|").alias("regions"), F.col("top_company").cast("bigint").alias("top_company"),
+        F.size("tag_ids").cast("bigint").alias("tags"), F.try_element_at("tag_scores", F.lit(1)).alias("best"),
+    )
 
 
 def search_docs(spark: SparkSession, d: str) -> DataFrame:
@@ -289,8 +292,8 @@ ORACLES = {
     "cdc_incremental": f"""WITH n AS (SELECT company_id, content_hash, updated_at FROM {_RAW}), o AS (SELECT c.company_id, arg_max(c.content_hash, c.updated_at) AS h FROM companies_normalized c JOIN n ON n.company_id = c.company_id WHERE c.updated_at < n.updated_at GROUP BY c.company_id)
       SELECT CASE WHEN o.company_id IS NULL THEN 'new' WHEN o.h IS NOT DISTINCT FROM n.content_hash THEN 'same' ELSE 'changed' END AS change, count(*) AS n FROM n LEFT JOIN o USING (company_id) GROUP BY 1""",
     "filter_conjunctive": f"""WITH {_CO}, {_RANKED.replace("coalesce(t.s, 0)", "t.s")} SELECT company_id FROM co WHERE batch_year >= 2015 AND status = 'Active' AND list_has_any(regions, ['Remote', 'Inland', 'North Coast'])
-      AND EXISTS (SELECT 1 FROM rk WHERE rk.company_id = co.company_id AND rk.s >= 0.5 AND rk.tag = 'transit-surveys')""",
-    "filter_disjunctive": f"""WITH {_CO} SELECT company_id FROM co WHERE (industry IN ('Healthcare', 'Mining') OR subindustry = 'Consumer -> Security') AND is_hiring AND list_has_any(tag_ids, ['transit-surveys', 'fleet-procurement', 'data-reporting'])""",
+      AND EXISTS (SELECT 1 FROM rk WHERE rk.company_id = co.company_id AND rk.s >= 0.5 AND rk.tag = 'escrow-storage')""",
+    "filter_disjunctive": f"""WITH {_CO} SELECT company_id FROM co WHERE (industry IN ('Healthcare', 'Business Software') OR subindustry = 'Consumer -> Security') AND is_hiring AND list_has_any(tag_ids, ['escrow-storage', 'factory-imaging', 'grid-sampling'])""",
     "filter_facet": f"""WITH {_CO}, {_RANKED.replace("coalesce(t.s, 0)", "t.s")} SELECT company_id FROM co WHERE EXISTS (SELECT 1 FROM rk JOIN tags ON tags.tag_id = rk.tag WHERE rk.company_id = co.company_id AND rk.s >= 0.9 AND facet = 'product')""",
     "facet_counts": f"""WITH {_CO}, t AS (SELECT 'industry' AS facet, industry AS v FROM co UNION ALL SELECT 'batch', batch FROM co UNION ALL SELECT 'status', status FROM co UNION ALL SELECT 'stage', stage FROM co UNION ALL SELECT 'region', unnest(list_distinct(regions)) FROM co)
       SELECT facet, v AS "value", count(*) AS n FROM t WHERE v <> '' GROUP BY ALL""",
@@ -322,8 +325,8 @@ ORACLES = {
       s AS (SELECT id, neighbor_id, p.x, p.df, row_number() OVER (PARTITION BY id, neighbor_id ORDER BY p.df, p.x) AS rn FROM e JOIN k p ON p.company_id = id JOIN k q ON q.company_id = neighbor_id AND q.x = p.x)
       SELECT id, neighbor_id, string_agg(x, '|' ORDER BY rn) AS shared FROM s WHERE rn <= 4 GROUP BY ALL""",
     "compact_index": f"""WITH {_CO}, {_RANKED}, b AS (SELECT company_id, count(*) AS k, max(CASE WHEN pos = 1 THEN round(s, 4) END) AS best FROM rk GROUP BY 1), o AS (SELECT *, {_SQ.replace("X", "coalesce(one_liner, '')")} AS ol FROM co)
-      SELECT o.company_id AS i, name AS n, nullif(CASE WHEN length(ol) > 160 THEN rtrim(left(ol, 159)) || '…' ELSE ol END, '') AS o, nullif(batch, '') AS b, batch_year::BIGINT AS y, CASE WHEN len(regions) > 0 THEN coalesce(array_to_string(list_filter(regions, lambda r: r IS NOT NULL), '|'), '') END AS r,
-      CASE WHEN top_company THEN 1 END::BIGINT AS p, b.k AS tags, best FROM o LEFT JOIN b USING (company_id)""",
+      SELECT o.company_id, name, nullif(CASE WHEN length(ol) > 160 THEN rtrim(left(ol, 159)) || '…' ELSE ol END, '') AS one_liner, nullif(batch, '') AS batch, batch_year::BIGINT AS batch_year, CASE WHEN len(regions) > 0 THEN coalesce(array_to_string(list_filter(regions, lambda r: r IS NOT NULL), '|'), '') END AS regions,
+      CASE WHEN top_company THEN 1 END::BIGINT AS top_company, b.k AS tags, best FROM o LEFT JOIN b USING (company_id)""",
     "search_docs": f"""WITH {_CO}, {_RANKED}, g AS (SELECT company_id, string_agg(canonical_name, ' ' ORDER BY pos) AS g FROM rk JOIN (SELECT DISTINCT tag_id, canonical_name FROM tags) t ON t.tag_id = rk.tag WHERE pos <= 14 GROUP BY 1)
       SELECT co.company_id AS i, name AS n, coalesce(one_liner, '') AS o, concat_ws(' ', industry, subindustry, CASE WHEN source_tags IS NULL THEN NULL ELSE coalesce(array_to_string(list_filter(source_tags, lambda r: r IS NOT NULL), ' '), '') END) AS d,
       concat_ws(' ', batch, CASE WHEN regions IS NULL THEN NULL ELSE coalesce(array_to_string(list_filter(regions, lambda r: r IS NOT NULL), ' '), '') END, status, stage) AS b, coalesce(g, '') AS g FROM co LEFT JOIN g USING (company_id)""",

@@ -49,8 +49,8 @@ def combined_vector(spark: SparkSession, d: str) -> DataFrame:
 
 
 def term_tag_mapping(spark: SparkSession, d: str) -> DataFrame:
-    """Labels as terms, their centroids against all vectors as tags: the three nearest and the relation."""
-    terms = centroids(spark, d).select(F.col("label").cast("long").alias("id"), V.l2_normalize(F.col("v")).alias("v"))
+    """Every fiftieth vector as a term against all vectors as tags: the three nearest and the relation."""
+    terms = units(spark, d).where("id % 50 = 0").select("id", "v")
     near = N.dense_neighbors(terms, units(spark, d), 3, exclude_self=False)
     sims = near.select(F.col("id").alias("term_id"), F.lit("industry").alias("kind"), F.lit("a").alias("term_name"), F.col("neighbor_id").alias("tag_id"), F.lit("b").alias("tag_name"), "similarity")
     return S.term_mapping(sims).withColumn("rank", F.col("rank").cast("bigint"))
@@ -81,7 +81,7 @@ def procrustes_rescale(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
     turned = p.select("id", (-F.col("y") * 2 + 1).alias("x"), (F.col("x") * 2 - 3).alias("y"))
     back = P.align(turned, p)
-    return P.rescale(back).select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+    return P.rescale(back).select("id", (F.round("x", 3) + 0.0).alias("x"), (F.round("y", 3) + 0.0).alias("y"))
 
 
 def projection_2d(spark: SparkSession, d: str) -> DataFrame:
@@ -114,7 +114,7 @@ ORACLES = {
       m AS (SELECT vec_id, list_transform(generate_series(1, len(a)), lambda i: (0.55 + t) * a[i] / l + 0.20 * b[i] / l) AS v FROM n),
       k AS (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM m)
       SELECT vec_id, i - 1 AS i, round(v[i], 6) AS x FROM k, (SELECT unnest([1, 2, 3, 4])::BIGINT AS i)""",
-    "term_tag_mapping": f"""WITH {_U}, {_C}, s AS (SELECT c.label::BIGINT AS term_id, u.id AS tag_id, round({_sim("c.v", "u.v")}, 9) AS s FROM c, u),
+    "term_tag_mapping": f"""WITH {_U}, s AS (SELECT c.id AS term_id, u.id AS tag_id, round({_sim("c.v", "u.v")}, 9) AS s FROM u c, u WHERE c.id % 50 = 0),
       r AS (SELECT *, row_number() OVER (PARTITION BY term_id ORDER BY s DESC, tag_id) AS rank FROM s)
       SELECT term_id, tag_id, CASE WHEN round(s, 6) >= 0.9 THEN 'equivalent' WHEN round(s, 6) >= 0.78 THEN 'narrower' ELSE 'related' END AS relation, round(s, 6) AS similarity, rank FROM r WHERE rank <= 3 AND round(s, 6) >= 0.68""",
     "merge_candidates": f"""WITH {_U}, p AS (SELECT a.id AS i, b.id AS j, a.id % 7 AS si, b.id % 7 AS sj, {_sim("a.v", "b.v")} AS s FROM u a JOIN u b ON a.label = b.label AND a.id < b.id)
@@ -122,12 +122,12 @@ ORACLES = {
     "quantized": """WITH m AS (SELECT max(abs(x::DOUBLE)) AS m FROM (SELECT unnest(embedding) AS x FROM embeddings)),
       q AS (SELECT vec_id, list_transform(embedding, lambda x: greatest(-127, least(127, round_even(x::DOUBLE / m * 127, 0)))) AS q FROM embeddings, m)
       SELECT vec_id, list_sum(q)::BIGINT AS total, list_max(q)::BIGINT AS largest FROM q""",
-    "shortlist_rules": f"""WITH {_U}, {_C}, s AS (SELECT u.id AS entity, c.label::BIGINT AS tag_id, c.label % 3 AS facet, round({_sim("u.v", "c.v")}, 6) AS score, round({_sim("u.v", "c.v")}, 9) AS s9 FROM u, c),
+    "shortlist_rules": f"""WITH {_U}, {_C}, s AS (SELECT u.id AS entity, c.label::BIGINT AS tag_id, c.label % 3 AS facet, round(round({_sim("u.v", "c.v")}, 9), 6) AS score, round({_sim("u.v", "c.v")}, 9) AS s9 FROM u, c),
       r AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY score DESC, tag_id) AS rank, row_number() OVER (PARTITION BY entity, facet ORDER BY score DESC, tag_id) AS fr FROM s),
       p AS (SELECT entity, tag_id, score, CASE WHEN rank <= 2 THEN 'retrieval' WHEN fr = 1 THEN 'facet_prior' END AS reason, rank FROM r),
       h AS (SELECT entity, tag_id, score, row_number() OVER (PARTITION BY entity ORDER BY sha256('20240917|' || entity || '|' || tag_id)) AS n FROM p WHERE reason IS NULL AND rank > 2 AND rank <= 6)
       SELECT entity, tag_id, reason, score FROM p WHERE reason IS NOT NULL UNION ALL SELECT entity, tag_id, 'hard_negative', score FROM h WHERE n = 1""",
     "procrustes_rescale": """WITH p AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings), m AS (SELECT avg(x) AS mx, avg(y) AS my FROM p),
       c AS (SELECT id, x - mx AS x, y - my AS y FROM p, m), s AS (SELECT quantile_cont(v, 0.99) AS s FROM (SELECT abs(x) AS v FROM c UNION ALL SELECT abs(y) FROM c))
-      SELECT id, round(round(x / s, 4), 3) AS x, round(round(y / s, 4), 3) AS y FROM c, s""",
+      SELECT id, round(round(x / s, 4), 3) + 0.0::DOUBLE AS x, round(round(y / s, 4), 3) + 0.0::DOUBLE AS y FROM c, s""",
 }
