@@ -26,6 +26,7 @@ documents give one row per id.
 from __future__ import annotations
 
 import re
+from operator import eq
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -134,7 +135,8 @@ TELLING = set(
     "server keyerror typeerror valueerror warning snag capacity offline opened down reset wartungsarbeiten serverfehler zugriff seite anfrage gefunden página servidor encontrada encontrado acceso mantenimiento page introuvable serveur accès erreur took could "
     "javascript java js script scripts scripting skripte your own goes placeholder dummy sample replace change write space click add describe text test feature item lorem ipsum beispieltext platzhalter einfügen texto texte insert enter type hello coming untitled".split()
 )
-_SPECIAL = re.compile(r"[{}<>\[\]|%$@~«»(]|__|##|XX")
+_SPLIT = re.compile(r"[\W\d_]+")
+_SPECIAL = re.compile(r"[{<\[|@~«(]|__|##|XX|%[A-Za-z_(]|\$[A-Za-z_]")
 _VALUE = re.compile(r"null|NULL|undefined|NaN|None|nil|N/A|#REF|#VALUE|#NAME|#DIV")
 
 
@@ -241,7 +243,7 @@ def verdict(unit: str) -> str:
 def signature(unit: str) -> tuple:
     """Kinds of marks: units with different ones never share a template."""
     low = unit.lower()
-    if TELLING.isdisjoint(WORD.findall(low)) and "error" not in low:
+    if TELLING.isdisjoint(_SPLIT.split(low)) and "error" not in low:
         return (slots(unit), False, False, False, unit[-1:] in ".!?")
     return (slots(unit), bool(TELLS_SCRIPT.search(unit)), bool(TELLS_ERROR.search(unit)), bool(TELLS_FILL.search(unit)), unit[-1:] in ".!?")
 
@@ -256,16 +258,16 @@ class TemplateTree:
 
     def add(self, unit: str) -> tuple[tuple, int]:
         """The (leaf, template number) of a unit."""
-        tokens = SLOT.sub("<slot>", unit).split()
+        tokens = (SLOT.sub("<slot>", unit) if _SPECIAL.search(unit) else unit).split()
         head = tuple("<*>" if any(c.isdigit() or c == "#" for c in t) else t for t in tokens[: self.depth])
         leaf = (len(tokens), head, signature(unit))
         templates = self.leaves.setdefault(leaf, [])
-        best, score = -1, 0.0
+        best, score = -1, 0
         for k, t in enumerate(templates):
-            same = sum(a == b for a, b in zip(t, tokens, strict=True)) / max(1, len(tokens))
+            same = sum(map(eq, t, tokens))
             if same > score:
                 best, score = k, same
-        if best >= 0 and score >= self.similarity:
+        if best >= 0 and score >= self.similarity * len(tokens):
             templates[best] = [a if a == b else "<*>" for a, b in zip(templates[best], tokens, strict=True)]
             return leaf, best
         templates.append(tokens)
