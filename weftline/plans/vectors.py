@@ -81,7 +81,7 @@ def procrustes_rescale(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
     turned = p.select("id", (-F.col("y") * 2 + 1).alias("x"), (F.col("x") * 2 - 3).alias("y"))
     back = P.align(turned, p)
-    return P.rescale(back).select("id", (F.round("x", 3) + 0.0).alias("x"), (F.round("y", 3) + 0.0).alias("y"))
+    return P.rescale(back)
 
 
 def projection_2d(spark: SparkSession, d: str) -> DataFrame:
@@ -129,5 +129,5 @@ ORACLES = {
       SELECT entity, tag_id, reason, score FROM p WHERE reason IS NOT NULL UNION ALL SELECT entity, tag_id, 'hard_negative', score FROM h WHERE n = 1""",
     "procrustes_rescale": """WITH p AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings), m AS (SELECT avg(x) AS mx, avg(y) AS my FROM p),
       c AS (SELECT id, x - mx AS x, y - my AS y FROM p, m), s AS (SELECT quantile_cont(v, 0.99) AS s FROM (SELECT abs(x) AS v FROM c UNION ALL SELECT abs(y) FROM c))
-      SELECT id, round(round(x / s, 4), 3) + 0.0::DOUBLE AS x, round(round(y / s, 4), 3) + 0.0::DOUBLE AS y FROM c, s""",
+      SELECT id, round(x / s, 4) + 0.0::DOUBLE AS x, round(y / s, 4) + 0.0::DOUBLE AS y FROM c, s""",
 }

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 #: No more than this many keys are ever treated as hot, so the list of them may be broadcast.
 MAX_HOT_KEYS = 1000
@@ -141,7 +142,7 @@ def salted_join(
     keyed = [r for r in found if all(r[c] is not None for c in on)]
     if keyed:
         rows = [(*(r[c] for c in on), min(max_salts, -(-r["_n"] // hot_rows))) for r in keyed]
-        schema = left.select(*on).schema.add("_salts", "int")
+        schema = left.select(*on).schema.add("_salts", IntegerType())
         hot = F.broadcast(spark.createDataFrame(rows, schema))
         left = left.join(hot, on, "left")
         right = right.join(hot, on, "left").withColumn(
