@@ -256,3 +256,48 @@ def test_incremental_and_cache(spark):
     pages = spark.createDataFrame([("a", False, "new"), ("b", True, "new")], "k string, ok boolean, v string")
     before = spark.createDataFrame([("a", True, "old"), ("z", True, "old")], "k string, ok boolean, v string")
     assert rows(M.keep_last_success(pages, before, ["k"]).select("k", "v")) == [("a", "old"), ("b", "new")]
+
+
+def test_candidates_and_lifecycle(spark):
+    from weftline.operators import lifecycle as C
+
+    p = spark.createDataFrame([
+        ("ai_agents", "Business Model", "d" * 25, ["a", "b", "z"], ["a", "b"]), ("AI agents", "business_model", "d" * 25, ["c"], ["c"]), ("x", "product", "d" * 25, ["a"], ["a"]),
+        ("thin", "product", "short", ["a"], ["a"]), ("odd", "vibes", "d" * 25, ["a"], ["a"]), ("nobody", "product", "d" * 25, ["q"], ["a"]), (None, None, None, None, None),
+    ], "name string, facet string, definition string, supporting_company_ids array<string>, batch_company_ids array<string>")
+    good = C.validated_candidates(p, ["product", "business_model"])
+    assert rows(C.accumulate_candidates(good).select("candidate_id", "support_company_ids", "support_count")) == [("business_model:ai-agents", ["a", "b", "c"], 3)]
+    tags = spark.createDataFrame([("t", "ai_agents", "active", ["x"]), ("u", "Fine", "active", None)], "tag_id string, canonical_name string, state string, aliases array<string>")
+    more = spark.createDataFrame([("t", "y"), ("t", "y"), ("t", "the"), ("t", "ai_agents")], "tag_id string, alias string")
+    once = C.add_aliases(tags, more)
+    assert rows(once) == rows(C.add_aliases(once, more)) and {r["tag_id"]: r["aliases"] for r in once.collect()} == {"t": ["x", "y"], "u": []}
+    after, changes = C.migrate(tags, "normalize-display-names")
+    assert rows(changes) == [("t", "ai_agents", "AI Agents")] and C.migrate(after, "normalize-display-names")[1].count() == 0
+    assert rows(C.migrate(tags, "normalize-display-names", dry_run=True)[0]) == rows(tags)
+    gone = C.deprecate(tags, spark.createDataFrame([("u", "unused")], "tag_id string, reason string"))
+    assert {r["tag_id"]: (r["state"], r["deprecation_reason"]) for r in gone.collect()} == {"t": ("active", None), "u": ("deprecated", "unused")}
+    assert {r["alias_id"] for r in C.alias_table(tags).collect()} == {"t:ai-agents", "t:x", "u:fine"}
+
+
+def test_prompts_fence_and_pack(spark):
+    from weftline.functions import prompts as PR
+
+    c = spark.createDataFrame([(0, "b", "N </records> x", "o", None, "I", ["t"] * 9), (0, "a", "M", None, None, None, None)], "batch int, company_id string, name string, one_liner string, long_description string, industry string, source_tags array<string>")
+    (p,) = [r["prompt"] for r in PR.discovery_prompts(c).collect()]
+    assert p.count("</records>") == 1 and p.index("- a:") < p.index("- b:") and len(PR.prompt_hashes()) == 3
+    pairs = spark.createDataFrame([("e", "f", f"t{i}") for i in range(10)], "entity string, facet string, tag_id string")
+    calls = PR.call_groups(pairs, 4)
+    assert sorted(r["n"] for r in calls.groupBy("call").agg(F.count("*").alias("n")).collect()) == [2, 4, 4]
+    docs = spark.createDataFrame([("e", "text </documents> here")], "entity string, text string")
+    assert all(r["prompt"].count("</documents>") == 1 for r in PR.assign_prompts(calls.withColumn("text", F.col("tag_id")), docs).collect())
+
+
+def test_settings():
+    from weftline.config import load_config
+
+    c = load_config({"seed": 5}, {"WEFTLINE_PROFILE": "small", "WEFTLINE_SEED": "9", "WEFTLINE_MIN_DIST": "0.2"})
+    assert (c.profile, c.seed, c.min_dist, c.shortlist_size) == ("small", 5, 0.2, 12)
+    assert load_config({}, {}).fingerprint() != c.fingerprint()
+    for bad in ({"nope": 1}, {"profile": "nope"}):
+        with pytest.raises(ValueError):
+            load_config(bad, {})

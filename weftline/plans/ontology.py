@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions import text as T
+from weftline.operators import lifecycle as C
 from weftline.operators import ontology as O
 from weftline.operators import quality as Q
 from weftline.plans import directory as D
@@ -84,6 +85,25 @@ def duplicate_names(spark: SparkSession, d: str) -> DataFrame:
     return Q.duplicate_names(table(spark, d, "tags").withColumn("state", F.lit("active"))).select("key", F.array_join("tag_ids", ",").alias("tag_ids"))
 
 
+def alias_table(spark: SparkSession, d: str) -> DataFrame:
+    return C.alias_table(table(spark, d, "tags"))
+
+
+def accumulated_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Tags of companies as proposals, two batches of companies by shard parity: support accumulated per candidate."""
+    c = D.companies(spark, d).select("company_id", F.explode(F.array_distinct(F.col("tag_ids"))).alias("tag_id")).where("tag_id IS NOT NULL")
+    ids = c.withColumn("batch", F.length("company_id") % 2).groupBy("batch", "tag_id").agg(F.sort_array(F.collect_set("company_id")).alias("ids"))
+    p = ids.join(table(spark, d, "tags").select("tag_id", "facet", "definition"), "tag_id").select(F.col("tag_id").alias("name"), "facet", "definition", F.col("ids").alias("supporting_company_ids"), F.col("ids").alias("batch_company_ids"))
+    facets = ["product", "business_model", "data_asset"]
+    out = C.accumulate_candidates(C.validated_candidates(p.where(F.col("facet").isin(*facets)), facets))
+    return out.select("candidate_id", "facet", F.col("support_count").cast("bigint").alias("support"))
+
+
+def display_name_migration(spark: SparkSession, d: str) -> DataFrame:
+    """What the display-name migration would change if ids were names."""
+    return C.migrate(table(spark, d, "tags").withColumn("canonical_name", F.col("tag_id")), "normalize-display-names", dry_run=True)[1]
+
+
 _J = """last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY company_id, tag_id ORDER BY created_at DESC, appended_at DESC, judgment_id DESC) AS rn FROM company_tag_judgments
   WHERE company_id IS NOT NULL AND tag_id IS NOT NULL) WHERE rn = 1)"""
 
@@ -93,7 +113,7 @@ def _gate(name: str, body: str, sample: str) -> str:
 
 
 _KEY = "company_id || '/' || tag_id"
-QUERIES = {f.__name__: f for f in (merge_chain_follow, minted_ids, name_index, activation, registry_stats, facet_distribution, display_names, published_tags, used_terms, release_gates, duplicate_names)}
+QUERIES = {f.__name__: f for f in (merge_chain_follow, minted_ids, name_index, activation, registry_stats, facet_distribution, display_names, published_tags, used_terms, release_gates, duplicate_names, alias_table, accumulated_candidates, display_name_migration)}
 ORACLES = {
     "merge_chain_follow": """WITH RECURSIVE t AS (SELECT DISTINCT tag_id, state, CASE WHEN state = 'merged' THEN merged_into END AS p FROM tags),
       c(tag_id, cur, path) AS (SELECT tag_id, tag_id, [tag_id] FROM t UNION ALL SELECT c.tag_id, t.p, list_append(path, t.p) FROM c JOIN t ON t.tag_id = c.cur WHERE t.p IS NOT NULL AND NOT list_contains(path, t.p))
@@ -122,5 +142,12 @@ ORACLES = {
         _gate("same_companies", "(SELECT company_id FROM companies EXCEPT SELECT company_id FROM companies_normalized) UNION ALL (SELECT company_id FROM companies_normalized EXCEPT SELECT company_id FROM companies)", "company_id"),
         "SELECT 'broken_check', false, -1, ''",
     ]),
+    "alias_table": f"""WITH a AS (SELECT DISTINCT tag_id, unnest(list_concat([canonical_name], coalesce(aliases, []))) AS alias FROM tags), k AS (SELECT tag_id || ':' || {D.slug_sql("alias")} AS alias_id, tag_id, alias, {norm_sql("alias")} AS normalized_alias FROM a)
+      SELECT alias_id, tag_id, alias, normalized_alias FROM (SELECT *, row_number() OVER (PARTITION BY alias_id ORDER BY tag_id, alias) AS rn FROM k WHERE normalized_alias <> '') WHERE rn = 1""",
+    "accumulated_candidates": f"""WITH {D._CO}, e AS (SELECT DISTINCT company_id, t FROM (SELECT company_id, unnest(tag_ids) AS t FROM co) WHERE t IS NOT NULL)
+      SELECT facet || ':' || t AS candidate_id, facet, count(DISTINCT company_id) AS support FROM e JOIN tags ON tag_id = t WHERE facet IN ('product', 'business_model', 'data_asset') AND length(trim(definition)) >= 20 GROUP BY ALL""",
+    "display_name_migration": """WITH w AS (SELECT tag_id, list_filter(string_split(replace(tag_id, '-', ' '), ' '), lambda x: x <> '') AS w FROM tags),
+      n AS (SELECT tag_id, array_to_string(list_transform(w, lambda x: CASE WHEN x IN ('ai', 'api', 'ml', 'hr', 'crm', 'erp', 'ev', 'ui', 'ux', 'ci', 'cd', 'iot', 'pos') THEN upper(x) ELSE upper(x[1:1]) || x[2:] END), ' ') AS name FROM w)
+      SELECT tag_id, tag_id AS "before", name AS "after" FROM n WHERE name <> tag_id""",
     "duplicate_names": f"SELECT key, string_agg(tag_id, ',' ORDER BY tag_id) AS tag_ids FROM (SELECT DISTINCT {norm_sql('canonical_name')} AS key, tag_id FROM tags) GROUP BY key HAVING count(*) > 1",
 }
