@@ -60,11 +60,11 @@ def test_texts_about_marks_are_texts(unit):
 def test_documents(spark):
     docs = [
         (1, "404 Page not found\nThe link you followed may be broken.\nHome | Blog | Contact"), (2, "Acme\nPlease enable JavaScript to view this page."), (3, "Lorem ipsum dolor sit amet consectetur.\n© 2026"), (4, "We sell pumps to farms in the north of the country. Some images were not found."),
-        (5, "We sell pumps to farms. Contact {{email}} to learn more."), (6, ""), (7, None), (8, "   \n "), (9, "Home | Blog"), (10, "We sell pumps to farms in the north of the country. " * 3), (1, "404 Page not found\nThe link you followed may be broken.\nHome | Blog | Contact"),
+        (5, "We sell pumps to farms. Contact {{email}} to learn more."), (6, ""), (7, None), (8, "   \n "), (9, "Home | Blog"), (12, "It may have been moved or deleted. Go back to the homepage or use the search."), (13, "ERR-1020 Account suspended - If the problem persists, contact the site owner."), (14, "Home\nCome back later."), (10, "We sell pumps to farms in the north of the country. " * 3), (1, "404 Page not found\nThe link you followed may be broken.\nHome | Blog | Contact"),
     ]
     df = spark.createDataFrame([(*d, 1, "u") for d in docs], "doc_id long, text string, unit int, verdict string")
     got = [r[0] for r in rows(residue_documents(df).where(is_residue()).select("doc_id"))]
-    assert got == [1, 2, 3, 5]
+    assert got == [1, 12, 13, 2, 3, 5]
     assert rows(residue_documents(df, broadcast_units=0)) == rows(residue_documents(df))
     assert residue_documents(df.limit(0)).count() == 0
     whole = mine_templates(df, leaf_rows=2)

@@ -7,12 +7,13 @@ classified once and its verdict goes to all its units and on to the documents:
 
 * ``slot``: an unfilled slot, an instruction to fill one, or a program's word for no value;
 * ``notice``: an error or block message, filler, stand-in copy, or a notice that scripts are needed;
-* ``around``: names, titles, navigation, footers, or a weak part of a notice;
+* ``weak``: a headline with a code, or a sentence that only has words of error messages but tells nothing by itself;
+* ``around``: names, titles, navigation, footers;
 * ``short``: other units of at most six words;
 * ``text``: everything else, texts about such things included.
 
-A document is residue if it has a slot anywhere, or notices and no text (two notices may have one
-short unit beside them, an unknown headline). Unresolved slots are
+A document is residue if it has a slot anywhere, or a notice or two weak units and no text (two
+notices may have one short unit beside them, an unknown headline). Unresolved slots are
 found within ordinary units by their marks, whose sentence must not be about the marks.
 
 A unit is a notice by the words it is made of: it needs a telling word or phrase, and (but for a
@@ -69,7 +70,7 @@ ABOUT = re.compile(
 # --- vocabularies of notices
 
 _STOP = (
-    "a an the of to in on at by over for from with and or but if so as is are was were be been it its this that these those there here you your yours we our us i me my he she they them their not no do does did "
+    "a an the of to in on at by over under for from with and or but if so as is are was were be been it its this that these those there here you your yours we our us i me my he she they them their not no do does did "
     "has have had can could will would may might must should than then when while until before after again please just now only also very more some any all one two "
     "der die das den dem des ein eine einer und oder nicht sie ihre ihren ihr es ist sind wurde wird zu zur zum auf mit für von im in den ohne um nutzen kann können diese dieser dieses bitte "
     "el la los las un una unos de del al y o no se su sus es son fue para por con sin que en este esta esto puede pudo más "
@@ -209,7 +210,7 @@ def _made_of(unit: str, vocabulary: set[str]) -> bool:
 
 
 def verdict(unit: str) -> str:
-    """slot, notice, around, short or text."""
+    """slot, notice, weak, around, short or text."""
     unit = unit.strip(" \t*#>-–|·•=_~`") if not SLOT.search(unit) else unit.strip()
     low = unit.lower()
     words = [w.lower() for w in WORD.findall(unit)]
@@ -230,11 +231,11 @@ def verdict(unit: str) -> str:
     if telling and TELLS_ERROR.search(unit) and _made_of(unit, ERROR | SCRIPT):
         return "notice"
     if _HEAD.match(unit):
-        return "around"
+        return "weak"
     if set(words) <= NAV | STOP or all(w in NAV for w in re.split(r"[\s·|/,>»•\-]+", low) if w):
         return "around"
-    if len(words) <= 12 and _uncovered(unit, ERROR)[0] == 0:
-        return "around"
+    if 2 <= len(words) <= 16 and _made_of(unit, ERROR) and not _uncovered(unit, ERROR)[0]:
+        return "notice" if len(words) >= 4 and re.search(r"\w\s[-–—]\s\w", unit) else "weak"
     if len(words) <= 4 and not re.search(r"[.!?:;,]$", unit) and all(w[:1].isupper() or w.lower() in STOP for w in WORD.findall(unit)):
         return "around"
     return "short" if len(words) <= 6 else "text"
@@ -310,7 +311,7 @@ def mine_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def residue_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_units: int = 200_000) -> DataFrame:
-    """doc_id, slots, notices, shorts, texts: unit counts of every document with any unit; see ``is_residue``."""
+    """doc_id, slots, notices, weak, shorts, texts: unit counts of every document with any unit; see ``is_residue``."""
     templates = mine_templates(docs, doc_id, text)
     told = templates.where("verdict <> 'text'").select("h1", "h2", "verdict")
     n = told.count()
@@ -318,10 +319,12 @@ def residue_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     joined = units.join(F.broadcast(told), ["h1", "h2"], "left") if n <= broadcast_units else salted_join(units, told, ["h1", "h2"], "left")
     count = lambda v: F.count(F.when(v, 1))
     return joined.groupBy("doc_id").agg(
-        count(F.col("verdict") == "slot").alias("slots"), count(F.col("verdict") == "notice").alias("notices"), count(F.col("verdict") == "short").alias("shorts"), count(F.col("verdict").isNull()).alias("texts"),
+        count(F.col("verdict") == "slot").alias("slots"), count(F.col("verdict") == "notice").alias("notices"), count(F.col("verdict") == "weak").alias("weak"),
+        count(F.col("verdict") == "short").alias("shorts"), count(F.col("verdict").isNull()).alias("texts"),
     )
 
 
 def is_residue() -> Column:
     few = F.col("shorts") <= F.when(F.col("notices") >= 2, 1).otherwise(0)
-    return (F.col("slots") > 0) | ((F.col("notices") > 0) & (F.col("texts") == 0) & few)
+    said = (F.col("notices") > 0) | (F.col("weak") >= 2)
+    return (F.col("slots") > 0) | (said & (F.col("texts") == 0) & few)
