@@ -48,10 +48,10 @@ def display_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def published_tags(spark: SparkSession, d: str) -> DataFrame:
-    """Active tags by prevalence, support and id, as published."""
+    """All active tags by prevalence, support and id, as published."""
     p = Q.prevalence(sparse_features(spark, d))
     t = table(spark, d, "tags").where("state = 'active'").join(p, "tag_id", "left")
-    return t.select("tag_id", F.coalesce("prevalence", F.lit(0)).alias("prevalence"), F.col("support_count").cast("bigint").alias("support")).orderBy(F.desc("prevalence"), F.desc("support"), "tag_id").limit(200)
+    return t.select("tag_id", F.coalesce("prevalence", F.lit(0)).alias("prevalence"), F.col("support_count").cast("bigint").alias("support")).orderBy(F.desc("prevalence"), F.desc("support"), "tag_id")
 
 
 def used_terms(spark: SparkSession, d: str) -> DataFrame:
