@@ -27,3 +27,10 @@ def test_published_tags_are_all_active_tags(spark, con, monkeypatch):
     assert active > 200 and said.startswith(f"ok {active} rows"), said
     order = [(-r["prevalence"], -r["support"], r["tag_id"]) for r in catalog.QUERIES["published_tags"](spark, str(SF)).collect()]
     assert order == sorted(order)
+
+
+def test_every_vector_is_mapped_as_a_term(spark, con, monkeypatch):
+    said = against(monkeypatch, spark, con, "term_tag_mapping", catalog.ORACLES["term_tag_mapping"].replace(" WHERE c.id % 50 = 0", ""))
+    assert said.startswith("ok"), said
+    terms = {r["term_id"] for r in catalog.QUERIES["term_tag_mapping"](spark, str(SF)).select("term_id").collect()}
+    assert terms == {r[0] for r in con.sql("SELECT vec_id FROM embeddings").fetchall()}

@@ -49,8 +49,8 @@ def combined_vector(spark: SparkSession, d: str) -> DataFrame:
 
 
 def term_tag_mapping(spark: SparkSession, d: str) -> DataFrame:
-    """Every fiftieth vector as a term against all vectors as tags: the three nearest and the relation."""
-    terms = units(spark, d).where("id % 50 = 0").select("id", "v")
+    """Every vector as a term against all vectors as tags: the three nearest and the relation."""
+    terms = units(spark, d).select("id", "v")
     near = N.dense_neighbors(terms, units(spark, d), 3, exclude_self=False)
     sims = near.select(F.col("id").alias("term_id"), F.lit("industry").alias("kind"), F.lit("a").alias("term_name"), F.col("neighbor_id").alias("tag_id"), F.lit("b").alias("tag_name"), "similarity")
     return S.term_mapping(sims).withColumn("rank", F.col("rank").cast("bigint"))
