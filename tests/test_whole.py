@@ -34,3 +34,9 @@ def test_every_vector_is_mapped_as_a_term(spark, con, monkeypatch):
     assert said.startswith("ok"), said
     terms = {r["term_id"] for r in catalog.QUERIES["term_tag_mapping"](spark, str(SF)).select("term_id").collect()}
     assert terms == {r[0] for r in con.sql("SELECT vec_id FROM embeddings").fetchall()}
+
+
+def test_combined_vectors_have_all_their_dimensions(spark, con, monkeypatch):
+    said = against(monkeypatch, spark, con, "combined_vector", catalog.ORACLES["combined_vector"].replace("unnest([1, 2, 3, 4])", "unnest(generate_series(1, (SELECT max(len(embedding)) FROM embeddings)))"))
+    values = con.sql("SELECT sum(len(embedding))::BIGINT FROM embeddings").fetchall()[0][0]
+    assert said.startswith(f"ok {values} rows"), said

@@ -41,11 +41,11 @@ def knn_sparse_jaccard(spark: SparkSession, d: str) -> DataFrame:
 
 
 def combined_vector(spark: SparkSession, d: str) -> DataFrame:
-    """The combined vector of each embedding as description, its reverse as metadata, and no tags for odd ids."""
+    """Every dimension of the combined vector of each embedding as description, its reverse as metadata, and no tags for odd ids."""
     e = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("a"), F.reverse(F.col("embedding").cast("array<double>")).alias("b"))
     tags = F.when(F.col("vec_id") % 2 == 0, F.transform("a", lambda x: -x))
     v = V.combine({"description": F.col("a"), "metadata": F.col("b"), "tags": tags})
-    return e.select("vec_id", F.posexplode(v).alias("i", "x")).where("i < 4").select("vec_id", F.col("i").cast("bigint").alias("i"), F.round("x", 6).alias("x"))
+    return e.select("vec_id", F.posexplode(v).alias("i", "x")).select("vec_id", F.col("i").cast("bigint").alias("i"), F.round("x", 6).alias("x"))
 
 
 def term_tag_mapping(spark: SparkSession, d: str) -> DataFrame:
