@@ -40,3 +40,12 @@ def test_combined_vectors_have_all_their_dimensions(spark, con, monkeypatch):
     said = against(monkeypatch, spark, con, "combined_vector", catalog.ORACLES["combined_vector"].replace("unnest([1, 2, 3, 4])", "unnest(generate_series(1, (SELECT max(len(embedding)) FROM embeddings)))"))
     values = con.sql("SELECT sum(len(embedding))::BIGINT FROM embeddings").fetchall()[0][0]
     assert said.startswith(f"ok {values} rows"), said
+
+
+def test_all_deliveries_are_normalised(spark, con, monkeypatch):
+    sql = catalog.ORACLES["normalize_raw"].replace("substr(source_last_updated, 1, 10) = (SELECT max(substr(source_last_updated, 1, 10)) FROM companies_raw)\n        AND ", "")
+    sql = sql.replace("SELECT company_id, payload", "SELECT substr(source_last_updated, 1, 10) AS delivery, company_id, payload").replace("t AS (SELECT company_id", "t AS (SELECT delivery, company_id").replace("SELECT DISTINCT company_id", "SELECT DISTINCT delivery, company_id")
+    said = against(monkeypatch, spark, con, "normalize_raw", sql)
+    assert said.startswith("ok"), said
+    days = {r["delivery"] for r in catalog.QUERIES["normalize_raw"](spark, str(SF)).select("delivery").collect()}
+    assert len(days) == 6 and days == {r[0] for r in con.sql("SELECT DISTINCT substr(source_last_updated, 1, 10) FROM companies_raw").fetchall()}

@@ -63,13 +63,13 @@ def term_ids() -> Column:
     ))
 
 
-def normalize_companies(good: DataFrame, directory: str = "directory") -> DataFrame:
-    """The typed row of every parsed payload, with documents, term ids and a content hash."""
+def normalize_companies(good: DataFrame, directory: str = "directory", keys: tuple[str, ...] = ()) -> DataFrame:
+    """The typed row of every parsed payload, with documents, term ids and a content hash; ``keys`` are carried along, unhashed."""
     p = lambda n: F.col(f"p.{n}")
     launched = F.when((p("launched_at") > 0) & (p("launched_at") < 253402300800.0), F.timestamp_seconds(p("launched_at")))
     batch = clean(p("batch"))
     out = good.select(
-        "company_id", p("id").alias("yc_id"), F.coalesce(clean(p("slug")), slugify(p("name"))).alias("slug"), clean(p("name")).alias("name"),
+        *keys, "company_id", p("id").alias("yc_id"), F.coalesce(clean(p("slug")), slugify(p("name"))).alias("slug"), clean(p("name")).alias("name"),
         string_list(p("former_names")).alias("former_names"), *(clean(p(n)).alias(n) for n in ("one_liner", "long_description", "website", "all_locations", "status", "stage", "industry", "subindustry")),
         clean(p("url")).alias("url"), clean(p("small_logo_thumb_url")).alias("logo_url"), batch.alias("batch"), batch_slug(batch).alias("batch_slug"),
         batch_season(batch).alias("batch_season"), batch_year(batch).alias("batch_year"), non_negative_int(p("team_size")).alias("team_size"),
@@ -77,7 +77,7 @@ def normalize_companies(good: DataFrame, directory: str = "directory") -> DataFr
         string_list(p("industries")).alias("industries"), string_list(p("tags")).alias("source_tags"), string_list(p("regions")).alias("regions"), launched.alias("launched_at"),
     )
     out = out.withColumn("source_taxonomy_term_ids", term_ids()).withColumn("metadata_document", metadata_document(directory))
-    return out.withColumn("content_hash", stable_hash(**{c: F.col(c) for c in out.columns}))
+    return out.withColumn("content_hash", stable_hash(**{c: F.col(c) for c in out.columns if c not in keys}))
 
 
 def source_documents(companies: DataFrame) -> DataFrame:

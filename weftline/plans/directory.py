@@ -35,12 +35,11 @@ _RAW = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORD
 
 
 def normalize_raw(spark: SparkSession, d: str) -> DataFrame:
-    """Payloads of the newest delivery parsed and typed; which fields a company has."""
-    raw = table(spark, d, "companies_raw")
-    newest = raw.agg(F.max(F.substring("source_last_updated", 1, 10))).first()[0]
-    good, _ = N.parse_payloads(raw.where(F.substring("source_last_updated", 1, 10) == newest).where("company_id IS NOT NULL"))
-    out = N.normalize_companies(good)
-    return out.select("company_id", "yc_id", "name", "one_liner", "batch_season", F.col("batch_year").cast("bigint").alias("batch_year"), "industry", F.array_join("source_tags", "|").alias("tags")).distinct()
+    """Payloads of all deliveries parsed and typed, by delivery and company; which fields a company has."""
+    raw = table(spark, d, "companies_raw").withColumn("delivery", F.substring("source_last_updated", 1, 10))
+    good, _ = N.parse_payloads(raw.where("company_id IS NOT NULL"))
+    out = N.normalize_companies(good, keys=("delivery",))
+    return out.select("delivery", "company_id", "yc_id", "name", "one_liner", "batch_season", F.col("batch_year").cast("bigint").alias("batch_year"), "industry", F.array_join("source_tags", "|").alias("tags")).distinct()
 
 
 def rejected_records(spark: SparkSession, d: str) -> DataFrame:
