@@ -1,10 +1,15 @@
 """Queries give their whole result: every row of the tables, not a part of it. The SQL here is that of the plan with its cut taken out."""
 
+import json
+import shutil
+
 import duckdb
 import pytest
 
 import verify
 from tests.conftest import SF
+from weftline import cli
+from weftline.pipeline import table_digest
 from weftline.plans import catalog
 
 
@@ -49,3 +54,41 @@ def test_all_deliveries_are_normalised(spark, con, monkeypatch):
     assert said.startswith("ok"), said
     days = {r["delivery"] for r in catalog.QUERIES["normalize_raw"](spark, str(SF)).select("delivery").collect()}
     assert len(days) == 6 and days == {r[0] for r in con.sql("SELECT DISTINCT substr(source_last_updated, 1, 10) FROM companies_raw").fetchall()}
+
+
+def test_stages_run_again_when_a_source_or_a_setting_changes(spark, tmp_path, capsys, monkeypatch):
+    data, out = tmp_path / "data", str(tmp_path / "out")
+    data.mkdir()
+    for name in ("companies_raw", "company_tag_judgments", "companies", "tags"):
+        shutil.copy(SF / f"{name}.parquet", data)
+
+    def fresh() -> list[str]:
+        assert cli.main(["run", "--data", str(data), "--out", out]) == 0
+        return [line.split()[0] for line in capsys.readouterr().out.splitlines() if line.endswith("is fresh")]
+
+    def more(name: str) -> None:
+        both = spark.read.parquet(str(SF / f"{name}.parquet"))
+        both.union(both.limit(1)).coalesce(1).write.parquet(str(tmp_path / "new"))
+        (data / f"{name}.parquet").unlink()
+        shutil.move(next((tmp_path / "new").glob("*.parquet")), data / f"{name}.parquet")
+        shutil.rmtree(tmp_path / "new")
+
+    stages = ["fetch", "assign-features", "publish-data"]
+    assert fresh() == [] and fresh() == stages
+    before = json.loads((tmp_path / "out/manifest.json").read_text())["fetch"]["counts"]
+    more("companies_raw")
+    assert fresh() == ["assign-features", "publish-data"]
+    assert sum(json.loads((tmp_path / "out/manifest.json").read_text())["fetch"]["counts"].values()) == sum(before.values()) + 1
+    more("tags")
+    assert fresh() == ["fetch", "assign-features"]
+    more("company_tag_judgments")
+    assert "assign-features" not in fresh() and fresh() == stages
+    monkeypatch.setenv("WEFTLINE_MIN_CONFIDENCE", "0.9")
+    assert fresh() == []
+
+
+def test_table_digest_is_of_the_content(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, "a"), (2, None, "a")], "i int, x string, y string")
+    same = table_digest(df)
+    assert table_digest(df.repartition(3, "i")) == same
+    assert table_digest(df.distinct()) != same and table_digest(df.select("i", df.y.alias("x"), df.x.alias("y"))) != same and table_digest(df.limit(0)) != same

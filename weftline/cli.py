@@ -8,6 +8,7 @@ import sys
 
 from pyspark.sql import functions as F
 
+from weftline.config import load_config
 from weftline.operators import judging, normalize, ontology
 from weftline.operators.quality import quality_report
 from weftline.pipeline import Store, run_stage
@@ -49,7 +50,8 @@ def main(argv: list[str] | None = None) -> int:
         gates.show(truncate=False)
         return int(gates.where(~F.col("passed")).limit(1).count() > 0)
     store = Store(spark, a.out)
-    settings = {"data": a.data}
+    config = load_config()
+    settings = {"data": a.data, "config": config.fingerprint()}
 
     def fetch() -> dict[str, int]:
         good, bad = normalize.parse_payloads(table(spark, a.data, "companies_raw"))
@@ -57,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
 
     def features() -> dict[str, int]:
         last = judging.last_wins(table(spark, a.data, "company_tag_judgments"), ["company_id", "tag_id"], ORDER, KEEP)
-        return export_bundle({"judgments": last, "features": judging.sparse_features(last, last.select("company_id").distinct().count())}, a.out, csv=False)
+        return export_bundle({"judgments": last, "features": judging.sparse_features(last, last.select("company_id").distinct().count(), minimum=config.min_confidence)}, a.out, csv=False)
 
     def publish() -> dict[str, int]:
         last, f = (spark.read.parquet(f"{a.out}/{n}.parquet") for n in ("judgments", "features"))
@@ -65,10 +67,15 @@ def main(argv: list[str] | None = None) -> int:
         names = ("compact_index", "search_docs", "facet_counts", "cooccurrence")
         return export_bundle({k: catalog.QUERIES[k](spark, a.data) for k in names} | {"quality": quality_report(n, table(spark, a.data, "tags"), f, last)}, a.out)
 
-    stages = {"fetch": (fetch, [], ["companies.parquet"]), "assign-features": (features, [], ["features.parquet"]), "publish-data": (publish, ["features.parquet"], ["quality.parquet"])}
+    #: Work, inputs in the warehouse, source tables, outputs.
+    stages = {
+        "fetch": (fetch, [], ["companies_raw"], ["companies.parquet"]),
+        "assign-features": (features, [], ["company_tag_judgments"], ["judgments.parquet", "features.parquet"]),
+        "publish-data": (publish, ["judgments.parquet", "features.parquet"], ["companies", "tags"], ["quality.parquet"]),
+    }
     for name in stages if a.command == "run" else [a.command]:
-        work, inputs, outputs = stages[name]
-        ran = run_stage(store, name, settings, inputs, outputs, work, a.force)
+        work, inputs, read, outputs = stages[name]
+        ran = run_stage(store, name, settings, inputs, outputs, work, a.force, [(a.data, t) for t in read])
         print(name, json.dumps(store.manifest[name]["counts"]) if ran else "is fresh")
     return 0
 
