@@ -52,7 +52,7 @@ SLOT = re.compile(
     r"|\[\[[^\[\]]+\]\]|\*\|[^|]+\|\*|##[A-Za-z_]\w*##|~~?[A-Z_]{3,}~~?|<<\s*" + _ID + r"\s*>>|\|\|?[A-Z_]{3,}\|\|?|\[object Object\]"
 )
 #: Marks that also have ordinary uses; their inside decides.
-BRACKET = re.compile(r"(?<![!\]\w])\[([^\[\]]{1,60})\](?!\()|<([A-Za-z][^<>]{0,60})>|«\s?([^«»]{1,40})\s?»|\(([^()]{1,60})\)")
+BRACKET = re.compile(r"(?<![!\]\w])\[([^\[\]]+)\](?!\()|<([A-Za-z][^<>]*)>|«\s?([^«»]{1,40})\s?»|\(([^()]+)\)")
 HTML = set("a abbr b blockquote body br button code dd div dl dt em footer form h h1 h2 h3 h4 h5 h6 head header hr html i iframe img input label li link main meta nav ol option p pre q s script section select small span strike strong style sub sup table tbody td th thead title tr tt u ul video".split())
 HERE = re.compile(r"(?i)\bgoes here\b|^(?:insert|enter|add|your|type|fill in|write|replace with|put|choose|select)\b.*|.*\b(?:here|einfügen|eintragen|aquí|ici)$|^(?:ihr|ihre|votre|su|tu)\b.*")
 NO_VALUE = re.compile(r"(?<![\w.\"'`/-])(?:\(null\)|null|NULL|undefined|NaN|None|nil|#N/A|#REF!|#VALUE!|#NAME\?|#DIV/#!|N/A)(?![\w\"'`])")
@@ -60,13 +60,20 @@ _NOT_MISSING = re.compile(
     r"^\s*(?:of\b|behaviou?rs?\b|pointers?\b|hypothes[ei]s\b|references?\b|values?\b|checks?\b|bytes?\b|characters?\b|exceptions?\b|entries\b|marks?\b|cells?\b|fields?\b|variables?\b|errors?\b|\(reading|and\s+(?:#REF|NaN|null|undefined))"
 )
 _ABOUT_BEFORE = re.compile(r"(?i)(?:\b(?:full of|no|word|says?|shows?|like|such as|called|properties of|and|or|than|every|any|each|handles?|catch(?:es)?|flags?|rejects?|of type)\s*)$")
-#: Sentences about marks: words for the marks themselves and for what is done with them.
+#: Words of sentences about a program's values. A mark needs more: see ``_speaks_of``.
 ABOUT = re.compile(
     r"(?i)\b(?:templates?|merge fields?|mail merge|placeholders?|marks?|markers?|tokens|variables|syntax|macros?|brackets?|braces|subject lines?|labels?|each field|fields? (?:like|such as|named|called)|types?|typed|typing|fills?|"
     r"parsers?|renders?|substitutes?|escapes?|snippets?|spreadsheets?|formulas?|compilers?|firmware|campos?|etiquetas?|plantillas?|marcador(?:es)?|se completan?|rellena[n]?|felder|feld|füllt|füllen|platzhalter|vorlagen?|serienbriefe?|etiketten?|"
     r"champs?|étiquettes?|modèles?|gabarits?|remplit|remplissent|balises?|variables)\b"
 )
 
+#: Words for marks and for nothing that a company sells.
+MARK_WORD = re.compile(r"(?i)\b(?:merge fields?|mail merge|placeholders?|each field|fields? (?:like|such as|named|called)|marcador(?:es)?|platzhalter|serienbriefe?|gabarits?|balises?)\b")
+_HOLDER = r"(?:templates?|marks?|markers?|tokens?|variables?|macros?|brackets?|braces|fields?|snippets?|syntax|campos?|plantillas?|felder|feld|vorlagen?|champs?|modèles?)"
+#: What makes a mark the thing spoken of: what holds it or is done with it just before, or its name just after.
+_BEFORE_MARK = re.compile(r"(?i)\b(?:" + _HOLDER + r"(?:\s+(?:uses?|like|such as|named|called|contains?|holds?|wie|como|comme))?|types?|typed|typing|fills?|fill in|renders?|substitutes?|replaces?|escapes?|parses?|füllt|füllen|rellenan?|remplit|remplissent)\s+(?:(?:the|a|an|el|la|le|den|die|das)\s+)?[`\"'“‘]?$")
+_AFTER_MARK = re.compile(r"(?i)^[`\"'”’]?\s+(?:" + _HOLDER + r"|se completan?)\b")
+
 # --- vocabularies of notices
 
 _STOP = (
@@ -154,7 +161,7 @@ def slots(unit: str) -> bool:
             continue
         if round_ is not None:
             hit = bool(re.search(r"(?i)\b(?:goes|name|text) here$", inside))
-        elif HERE.match(inside) and len(words) <= 7:
+        elif HERE.match(inside) and (square is not None or len(words) <= 7 or (angle is not None and "=" not in inside)):
             hit = True
         elif quoted is not None:
             hit = bool(re.fullmatch(r"[A-Za-z_][\w. ]*", inside)) and (low.replace(" ", "_") in FIELDS or "_" in inside or "." in inside[:-1] or (inside.isupper() and len(inside) > 2))
@@ -165,7 +172,7 @@ def slots(unit: str) -> bool:
             hit = (titled and not set(words) <= NAV) or low.replace(" ", "_") in FIELDS or re.fullmatch(r"[a-z]+(?:[._][a-z]+)+", inside) is not None
         if hit:
             found.append(m)
-    if found and not ABOUT.search(_without(unit, found)) and not all(_quoted(unit, m) for m in found):
+    if found and not _speaks_of(unit, found) and not all(_quoted(unit, m) for m in found):
         return True
     for m in NO_VALUE.finditer(unit) if _VALUE.search(unit) else ():
         before, after = unit[: m.start()], unit[m.end() :]
@@ -178,6 +185,13 @@ def slots(unit: str) -> bool:
     return False
 
 
+def _speaks_of(unit: str, found: list[re.Match]) -> bool:
+    """Is the sentence about its marks? A word such as labels or types elsewhere in it doesn't make it so."""
+    if MARK_WORD.search(_without(unit, found)):
+        return True
+    return any(_BEFORE_MARK.search(unit[max(0, m.start() - 60) : m.start()]) or _AFTER_MARK.match(unit[m.end() : m.end() + 60]) for m in found)
+
+
 def _without(unit: str, found: list[re.Match]) -> str:
     out, at = [], 0
     for m in sorted(found, key=lambda m: m.start()):
@@ -211,7 +225,7 @@ def _made_of(unit: str, vocabulary: set[str]) -> bool:
 
 def verdict(unit: str) -> str:
     """slot, notice, weak, around, short or text."""
-    unit = unit.strip(" \t*#>-–|·•=_~`") if not SLOT.search(unit) else unit.strip()
+    unit = unit.strip(" \t*#>-–|·•=_~`") if not SLOT.search(unit) and not BRACKET.fullmatch(unit.strip()) else unit.strip()
     low = unit.lower()
     words = [w.lower() for w in WORD.findall(unit)]
     telling = not TELLING.isdisjoint(words) or "error" in low
