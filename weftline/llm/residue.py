@@ -2,8 +2,9 @@
 
 Texts are cut into units (sentences and lines), digits are masked, and every distinct unit is
 looked at once: a prefix tree of fixed depth (token count, first tokens, kinds of marks) leads to
-a leaf in which units that agree in most tokens share a message template. Each template is
-classified once and its verdict goes to all its units and on to the documents:
+a leaf in which units that agree in most tokens share a message template. Every distinct unit is
+classified, its verdict is part of the leaf, and so a template has the one verdict of all its units,
+wherever leaves are cut; it goes on to the documents:
 
 * ``slot``: an unfilled slot, an instruction to fill one, or a program's word for no value;
 * ``notice``: an error or block message, filler, stand-in copy, or a notice that scripts are needed;
@@ -256,7 +257,11 @@ def verdict(unit: str) -> str:
 
 
 def signature(unit: str) -> tuple:
-    """Kinds of marks: units with different ones never share a template."""
+    """The unit's own verdict and its kinds of marks: units with different ones never share a template, so a template has one verdict."""
+    return (verdict(unit), *_marks(unit))
+
+
+def _marks(unit: str) -> tuple:
     low = unit.lower()
     if TELLING.isdisjoint(_SPLIT.split(low)) and "error" not in low:
         return (slots(unit), False, False, False, unit[-1:] in ".!?")
@@ -269,7 +274,6 @@ class TemplateTree:
     def __init__(self, depth: int = 2, similarity: float = 0.7):
         self.depth, self.similarity = depth, similarity
         self.leaves: dict[tuple, list[list[str]]] = {}
-        self.examples: dict[tuple, list[str]] = {}
 
     def add(self, unit: str) -> tuple[tuple, int]:
         """The (leaf, template number) of a unit."""
@@ -286,7 +290,6 @@ class TemplateTree:
             templates[best] = [a if a == b else "<*>" for a, b in zip(templates[best], tokens, strict=True)]
             return leaf, best
         templates.append(tokens)
-        self.examples.setdefault(leaf, []).append(unit)
         return leaf, len(templates) - 1
 
 
@@ -294,9 +297,8 @@ def _mine(group: pd.DataFrame) -> pd.DataFrame:
     tree = TemplateTree()
     group = group.sort_values("unit")
     places = [tree.add(u) for u in group["unit"]]
-    verdicts = {p: verdict(tree.examples[p[0]][p[1]]) for p in dict.fromkeys(places)}
     group["template"] = [" ".join(tree.leaves[p[0]][p[1]]) for p in places]
-    group["verdict"] = [verdicts[p] for p in places]
+    group["verdict"] = [leaf[2][0] for leaf, _ in places]
     return group[["h1", "h2", "n", "template", "verdict"]]
 
 
