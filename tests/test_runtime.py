@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from weftline.runtime import hot_keys, materialize, release, salted_join, shared_dir
+from weftline.runtime import attach, hot_keys, materialize, release, rows_of, salted_join, shared_dir
 
 
 def test_materialize_cuts_lineage_and_release_deletes(spark):
@@ -63,9 +63,22 @@ def test_salted_join_equals_the_plain_join(spark, how):
 
 def test_hot_keys_are_counted(spark):
     left = spark.createDataFrame([("a",)] * 9 + [("b",)], "k string")
-    assert [(r["k"], r["_n"]) for r in hot_keys(left, ["k"], 5)] == [("a", 9)]
+    assert [(r["k"], r["_n"]) for r in hot_keys(left, ["k"], 5).collect()] == [("a", 9)]
 
 
 def test_salted_join_refuses_other_kinds(spark):
     with pytest.raises(ValueError):
         salted_join(spark.range(1), spark.range(1), ["id"], "full")
+
+
+def test_rows_are_counted_while_written(spark):
+    assert rows_of(materialize(spark.range(7), "t")) == 7 == rows_of(spark.range(7))
+    assert rows_of(materialize(spark.range(7).where("id > 9"), "t")) == 0 == rows_of(materialize(spark.createDataFrame([], "a int"), "t"))
+
+
+def test_keys_beyond_the_broadcast_bound_are_attached_all_the_same(spark):
+    left = spark.range(60).selectExpr("CASE WHEN id < 30 THEN 0 WHEN id < 55 THEN id % 7 END AS k", "id AS v")
+    keys = materialize(spark.createDataFrame([(0, 9), (2, 5), (3, 4), (9, 1)], "k long, w int"), "keys")
+    want = rows(left.join(keys, "k", "left").select("k", "v", "w"))
+    for bound in (0, 1, 2, 100):
+        assert rows(attach(left, keys, ["k"], "w", bound).select("k", "v", "w")) == want

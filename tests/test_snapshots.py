@@ -47,6 +47,7 @@ def test_random_snapshots_equal_brute_force(spark):
 def test_small_tables_are_enlarged_until_they_peel(spark):
     data = [("a", f"k{i}", "1", 0, None) for i in range(900)] + [("b", f"k{i}", "2", 0, None) for i in range(300, 1200)]
     assert rows(run(spark, data, bucket_keys=200, first_cells=0.01)) == brute(data)
+    assert rows(run(spark, data, bucket_keys=200, first_cells=0.01, most_cells=0)) == brute(data)  # compared instead
 
 
 def test_one_or_no_snapshot(spark):

@@ -4,9 +4,10 @@ Each delivery is reduced to one state (key, value digest) per key. States are sp
 buckets; per bucket and pair of deliveries the later one is subtracted from the earlier one as
 invertible Bloom lookup tables (counts and XOR sums, so both sides fold into one aggregation that
 combines before its shuffle). Only cells that differ from zero are left, and these are peeled in
-Arrow batches. A bucket that can't be peeled is repeated with more cells and other hash functions
-until it can. The recovered digests are then verified against the states, which also gives
-the keys back, and classified as added, removed or changed.
+Arrow batches. A bucket that can't be peeled is repeated with four times the cells and other hash
+functions until it can; one that still can't with room for all its states several times over (two
+keys with one digest) is compared key by key. The recovered digests are then verified against the
+states, which also gives the keys back, and classified as added, removed or changed.
 
 Defined cases: rows without key or snapshot are ignored; of several states of a key in one
 snapshot the one with the greatest order value counts (then the greatest value); a null value
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.runtime import bounded_broadcast, materialize, release
+from weftline.runtime import bounded_broadcast, materialize, release, rows_of
 
 #: Hash functions of a lookup table.
 HASHES = 3
@@ -122,12 +123,13 @@ def snapshot_changes(
     order_by: str,
     bucket_keys: int = 20_000,
     first_cells: float = 0.3,
+    most_cells: int = 64,
 ) -> DataFrame:
     """snapshot, key, change_kind for each snapshot after the first against the one before.
 
     ``bucket_keys``: states of one snapshot in a bucket, about; ``first_cells``: cells of a
     bucket's first table as a share of that (a change takes two elements, and a table holds
-    about 0.8 elements a cell).
+    about 0.8 elements a cell); ``most_cells``: cells a state after which a bucket is compared instead.
     """
     spark = rows.sparkSession
     names = [r[0] for r in rows.where(rows[key].isNotNull()).select(snapshot.cast("string").alias("s")).distinct().where("s IS NOT NULL").orderBy("s").collect()]  # one row a delivery
@@ -147,7 +149,8 @@ def snapshot_changes(
     found: list[DataFrame] = []
     peeled_tables: list[DataFrame] = []
     todo: DataFrame | None = None
-    seed = 0
+    compared: DataFrame | None = None
+    seed = left = 0
     while True:
         sides = F.filter(F.array(
             F.struct(F.col("i").alias("pair"), F.lit(1).alias("sign")),
@@ -155,7 +158,7 @@ def snapshot_changes(
         ), lambda s: (s["pair"] >= 1) & (s["pair"] < len(names)))
         elements = keyed.withColumn("s", F.explode(sides)).select("s.pair", "b", "s.sign", "k1", "k2", "v", F.xxhash64("k1", "k2", "v").alias("c"))
         if todo is not None:
-            elements = elements.join(F.broadcast(todo), ["pair", "b"], "left_semi")
+            elements = elements.join(bounded_broadcast(todo, left), ["pair", "b"], "left_semi")
         slots = F.array(*(
             (F.lit(j * width) + F.pmod(F.xxhash64("k1", "k2", "v", F.lit(seed * HASHES + j).cast("long")), F.lit(width))).cast("int")
             for j in range(HASHES)
@@ -171,14 +174,14 @@ def snapshot_changes(
         )
         peeled_tables.append(got)
         found.append(got.where("ok"))
-        failed = got.where("NOT ok").select("pair", "b")
-        left = failed.count()
+        todo = got.where("NOT ok").select("pair", "b")
+        left = todo.count()
         if not left:
             break
-        todo, seed = bounded_todo(failed, left), seed + 1
-        width *= 2
-        if width > 64 * bucket_keys + 64:
-            raise RuntimeError("two keys of one snapshot have the same 128-bit digest")
+        seed, width = seed + 1, width * 4
+        if width > most_cells * bucket_keys + 64:
+            compared = _compare(keyed, todo, left)
+            break
     peeled = found[0]
     for f in found[1:]:
         peeled = peeled.unionByName(f)
@@ -191,19 +194,22 @@ def snapshot_changes(
         F.when(F.col("hi") < 0, "removed").when(F.col("lo") > 0, "added").otherwise("changed").alias("change_kind"),
     )
     kinds = materialize(kinds, "changes")
-    rows_found = kinds.count()
+    rows_found = rows_of(kinds)
     verified = materialize(
         states.join(bounded_broadcast(kinds, rows_found), ["i", "k1", "k2", "v"]).select("pair", "key", "change_kind"), "verified"
     )
-    if verified.count() != rows_found:
+    if rows_of(verified) != rows_found:
         raise RuntimeError("a recovered digest has no state; the tables were peeled wrongly")
+    if compared is not None:
+        verified = materialize(verified.unionByName(compared), "verified")
     release(states, kinds, *peeled_tables)
     back = F.broadcast(spark.createDataFrame(list(zip(range(len(names)), names, strict=True)), "pair int, snapshot string"))
     return verified.join(back, "pair").select("snapshot", "key", "change_kind")
 
 
-def bounded_todo(failed: DataFrame, rows: int, bound: int = 1_000_000) -> DataFrame:
-    """The failed buckets, two integers each; a million of them are the proven bound of the broadcast."""
-    if rows > bound:
-        raise RuntimeError(f"{rows} buckets failed; raise bucket_keys or first_cells")
-    return failed
+def _compare(keyed: DataFrame, todo: DataFrame, left: int) -> DataFrame:
+    """pair, key, change_kind of the buckets of ``todo`` by an outer join of both sides' keys."""
+    side = lambda shift, v: keyed.withColumn("pair", F.col("i") + shift).join(bounded_broadcast(todo, left), ["pair", "b"], "left_semi").select("pair", "key", F.col("v").alias(v))
+    both = side(0, "now").join(side(1, "before"), ["pair", "key"], "full")
+    kind = F.when(F.col("before").isNull(), "added").when(F.col("now").isNull(), "removed").when(F.col("now") != F.col("before"), "changed")
+    return both.select("pair", "key", kind.alias("change_kind")).where("change_kind IS NOT NULL")
