@@ -67,8 +67,10 @@ def test_sparse_neighbours(spark):
 
 def test_dense_neighbours_in_blocks_with_ties(spark):
     v = spark.createDataFrame([(i, [1.0, 0.0] if i % 2 else [0.0, 1.0]) for i in range(9)], "id long, v array<double>")
-    a, b = rows(N.dense_neighbors(v, v, 3)), rows(N.dense_neighbors(v, v, 3, block=2))
-    assert a == b and [r[1] for r in a if r[0] == 0] == [2, 4, 6]
+    a, b = rows(N.dense_neighbors(v, v, 3)), rows(N.dense_neighbors(v, v, 3, block=2, broadcast_numbers=0))
+    assert a == b == rows(N.dense_neighbors(v, v, 3, broadcast_numbers=0)) and N.dense_neighbors(v.limit(0), v, 3).count() == 0 == N.dense_neighbors(v, v.limit(0), 3).count()
+    pairs = rows(N.similar_in_groups(v.withColumn("grp", F.col("id") % 4), 0.5, block=2))
+    assert [(r[0], r[1]) for r in pairs] == [(0, 4), (0, 8), (1, 5), (2, 6), (3, 7), (4, 8)] and [r[1] for r in a if r[0] == 0] == [2, 4, 6]
 
 
 def test_pointers(spark):
@@ -77,19 +79,75 @@ def test_pointers(spark):
     assert got == {"a": "a", "b": "a", "c": "a", "x": None, "y": None, "d": None, "m": None}
 
 
-def test_merges_are_migrations():
-    tags = [{"tag_id": i, "canonical_name": i.upper(), "state": "active", "merged_into": None, "aliases": [], "source_company_ids": [i + "1"], "positive_examples": [i]} for i in "abc"]
-    p = [{"source_tag_id": "b", "target_tag_id": "a", "verdict": "auto_merge"}, {"source_tag_id": "c", "target_tag_id": "b", "verdict": "review", "adjudication": "merge"}, {"source_tag_id": "a", "target_tag_id": "c", "verdict": "review", "adjudication": "unclear"}]
-    out, done = O.apply_merges(tags, p)
-    by = {t["tag_id"]: t for t in out}
-    assert by["c"]["merged_into"] == "a" and by["a"]["source_company_ids"] == ["a1", "b1", "c1"] and by["a"]["aliases"] == ["B", "C"]
-    assert [bool(x.get("applied")) for x in done] == [True, True, False]
-    assert O.apply_merges(out, done)[0] == out
+TAGS = "tag_id string, canonical_name string, state string, merged_into string, aliases array<string>, source_company_ids array<string>, positive_examples array<string>, support_count int"
+PROPOSALS = "n int, source_tag_id string, target_tag_id string, verdict string, adjudication string, applied boolean"
+
+
+def test_merges_are_migrations(spark):
+    tags = spark.createDataFrame([(i, i.upper(), "active", None, [], [i + "1"], [i], 1) for i in "abc"] + [("old", "OLD", "merged", "a", None, None, None, 0), ("lost", "L", "merged", "gone", None, None, None, 0)], TAGS)
+    p = spark.createDataFrame([(1, "b", "a", "auto_merge", None, None), (2, "c", "b", "review", "merge", False), (3, "a", "c", "review", "unclear", None), (4, "a", "lost", "auto_merge", None, None), (5, "nope", "a", "auto_merge", None, None), (6, "a", "old", "auto_merge", None, None)], PROPOSALS)
+    out, done = O.apply_merges(tags, p, ["n"])
+    by = {r["tag_id"]: r for r in out.collect()}
+    assert by["c"]["merged_into"] == "a" == by["b"]["merged_into"] and by["a"]["source_company_ids"] == ["a1", "b1", "c1"] and by["a"]["aliases"] == ["B", "C"] and by["a"]["support_count"] == 3
+    assert [r["applied"] for r in done.orderBy("n").collect()] == [True, True, False, False, False, False]
+    assert rows(O.apply_merges(out, done, ["n"])[0]) == rows(out)
+
+
+def test_merges_in_circles_equal_one_by_one(spark):
+    import random
+
+    rng = random.Random(8)
+    for _ in range(3):
+        names = [f"t{i}" for i in range(9)]
+        plan = [(n, *rng.sample(names, 2), "auto_merge", None, None) for n in range(30)]
+        to = {}
+
+        def end(x, to=to):
+            while x in to:
+                x = to[x]
+            return x
+
+        want = set()
+        for n, a, b, *_ in plan:
+            if a not in to and end(b) != a:
+                to[a] = end(b)
+                want.add(n)
+        tags = spark.createDataFrame([(i, i, "active", None, [], [i], [], 1) for i in names], TAGS)
+        got = O.accepted_merges(tags, spark.createDataFrame(plan, PROPOSALS), ["n"]).collect()
+        assert {r["at"] for r in got} == want and {r["source"]: r["target"] for r in got} == {a: end(a) for a in to}
+
+
+def test_the_most_similar_pairs_are_put_to_a_model(spark):
+    from weftline.sources.models import Deterministic
+
+    tags = spark.createDataFrame([(1, "Field pumps", "product", "Pumps for fields"), (2, "Field pump", "product", "Pumps for fields"), (3, "Court records", "market", "Law")], "id long, name string, facet string, definition string")
+    c = spark.createDataFrame([(1, 2, 0.9, "review"), (1, 3, 0.88, "review"), (2, 3, 0.87, "review"), (3, 2, 0.99, "auto_merge")], "source_id long, target_id long, similarity double, verdict string")
+    got = {(r["source_id"], r["target_id"]): r["adjudication"] for r in O.adjudicate(c, tags, Deterministic(), most=2).collect()}
+    assert got == {(1, 2): "merge", (1, 3): "distinct", (2, 3): None, (3, 2): None}
+
+
+def minted(rows_, taken=()):
+    """One by one, in order."""
+    used, out = set(taken), []
+    for _, name, facet in rows_:
+        base = next(x for x in [f"{name}", f"{facet}-{name}", *(f"{name}-{i}" for i in range(2, 999))] if x not in used)
+        used.add(base)
+        out.append(base)
+    return out
 
 
 def test_ids_and_activation(spark):
+    import random
+
     t = spark.createDataFrame([(1, "AI", "x"), (2, "ai", "y"), (3, "A I", "x"), (4, "a.i", "x"), (5, "ai!", "y")], "n int, name string, facet string")
     assert [r["minted_id"] for r in O.mint_ids(t, "name", "facet", ["n"]).orderBy("n").collect()] == ["ai", "y-ai", "a-i", "x-a-i", "ai-2"]
+    foo = [(1, "foo", "f"), (2, "foo", "f"), (3, "foo", "f"), (4, "foo-2", "f"), (5, "f-foo", "g")]
+    got = [r["minted_id"] for r in O.mint_ids(spark.createDataFrame(foo, "n int, name string, facet string"), "name", "facet", ["n"]).orderBy("n").collect()]
+    assert got == minted(foo) == ["foo", "f-foo", "foo-2", "f-foo-2", "g-f-foo"]
+    rng = random.Random(2)
+    many = [(i, rng.choice(["a", "b", "a-2", "x-a", "b-3", "a-2-2"]), rng.choice(["x", "a", "b"])) for i in range(40)]
+    got = [r["minted_id"] for r in O.mint_ids(spark.createDataFrame(many, "n int, name string, facet string"), "name", "facet", ["n"], spark.createDataFrame([("a",), ("b-2",)], "id string")).orderBy("n").collect()]
+    assert len(set(got)) == 40 and not {"a", "b-2"} & set(got) and got == minted(many, ("a", "b-2"))
     c = spark.createDataFrame([("candidate", 1, "d" * 20), ("candidate", 3, "d" * 20), ("candidate", 3, "thin"), ("merged", 9, "d" * 20)], "s string, n int, d string")
     assert [r[0] for r in c.select(O.activation(F.col("s"), F.col("n"), F.col("d"))).collect()] == ["candidate", "active", "candidate", "merged"]
 
@@ -233,10 +291,13 @@ def test_shortlist_rules(spark):
 
 def test_web(spark):
     resolver = {"ok.example": ("8.8.8.8",), "in.example": ("8.8.8.8", "10.0.0.1")}
-    look = lambda h: resolver.get(h, ())
-    for url, problem in [("https://ok.example/x", None), ("ftp://ok.example", "scheme"), ("http://", "no host"), ("http://localhost/", "blocked host"), ("http://ok.example:8080", "port"), ("http://127.0.0.1", "not public"), ("http://[::1]/", "not public"), ("http://169.254.169.254/", "not public"), ("http://in.example", "not public"), ("http://none.example", "does not resolve"), (None, "scheme")]:
-        assert W.url_problem(url, ("bad.example",), look) == problem
-    assert W.url_problem("http://www.bad.example", ("bad.example",), look) == "denied domain"
+    urls = [
+        ("https://ok.example/x", None), ("ftp://ok.example", "scheme"), ("http://", "no host"), ("http://localhost/", "blocked host"), ("http://ok.example:8080", "port"), ("http://127.0.0.1", "not public"), ("http://[::1]/", "not public"), ("http://169.254.169.254/", "not public"),
+        ("http://in.example", "not public"), ("http://none.example", "does not resolve"), (None, "scheme"), ("http://u:p@OK.example.:443?q", None), ("javascript:alert(1)", "scheme"), ("http://www.bad.example", "denied domain"), ("http://[::ffff:10.0.0.1]/", "not public"), ("https://8.8.8.8/a:b", None), ("", "scheme"),
+    ]
+    df = spark.createDataFrame([(u, p) for u, p in urls], "u string, want string").coalesce(1)
+    got = df.select("u", "want", W.url_problem(F.col("u"), ("bad.example",), lambda h: resolver.get(h, ())).alias("got")).collect()
+    assert [(r["u"], r["got"]) for r in got] == [(r["u"], r["want"]) for r in got]
     html = "<html><head><title>T  x</title></head><body><nav>menu menu</nav><main><div class='cookie-banner'>accept</div><p>Real text</p><p>real TEXT</p><script>var x</script><p>ab</p>More<br>lines</main><footer>foot</footer></body></html>"
     assert W.page_text(html) == ("T x", "Real text\nMore\nlines")
     df = spark.createDataFrame([(1, html), (2, None), (3, "<article>" + "<p>line %d</p>" * 2 % (1, 2))], "k int, h string")

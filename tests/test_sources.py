@@ -70,16 +70,31 @@ def test_directory_source(spark, tmp_path):
 def test_models_are_cached_and_repaired(spark):
     class Flaky(models.Deterministic):
         def generate(self, prompt):
-            return "oops" if "Attempt" not in prompt else '{"decision": "yes"}'
+            if "Attempt 3" in prompt:
+                return '{"decision": "yes"}'
+            if "Attempt" in prompt:
+                return '{"decision": 1}'
+            raise OSError("no answer")
 
     req = spark.createDataFrame([("p",), ("p",), ("q",)], "prompt string")
-    out = models.generate(req, None, Flaky(), "decision string")
+    out = models.generate(req, None, Flaky(), "decision string", pause=0)
     assert out.count() == 2 and out.where("valid").count() == 2
-    cache = out.select("key", "response")
+    assert models.generate(req, None, Flaky(), "decision string", retries=1, pause=0).where("NOT valid AND answer IS NULL").count() == 2
+    cache = out.select("key", "response", "valid")
     again = models.generate(req, cache, models.Deterministic(), "decision string")
     assert {r["response"] for r in again.collect()} == {'{"decision": "yes"}'}
     (v,) = spark.createDataFrame([("hello world",)], "t string").select(models.embed(F.col("t"), models.Deterministic(16))).first()
     assert len(v) == 16 and sum(x * x for x in v) == pytest.approx(1, abs=1e-5)
+    near, far, none = models.Deterministic().embed(["red pumps for farms", "blue pumps for farms", "court records"]), models.Deterministic().embed(["court records"])[0], models.Deterministic().embed([" !"])[0]
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+    assert dot(near[0], near[1]) > 0.5 > abs(dot(near[0], far)) and near[2] == far and not any(none)
+    texts = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "text string")
+    first = models.embed_texts(texts.where("text = 'a'"), None, models.Deterministic(4))
+    kept = first.select("key", F.array(*[F.lit(9.0).cast("float")] * 4).alias("vector"))
+    assert sorted(r["vector"] == [9.0] * 4 for r in models.embed_texts(texts, kept, models.Deterministic(4)).collect()) == [False, True]
+    assert models.resolve_model(models.Deterministic(), "deterministic") == "deterministic"
+    with pytest.raises(LookupError):
+        models.resolve_model(models.Deterministic(), "other")
 
 
 def test_schemas_are_closed(spark):

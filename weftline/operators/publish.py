@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import truncate
-from weftline.runtime import materialize, salted_join
+from weftline.runtime import materialize, row_numbers, salted_join
 
 #: Transport keys of the company index.
 COMPANY_KEYS = {
@@ -154,8 +154,8 @@ def csr_matrix(features: DataFrame, rows: DataFrame, columns: DataFrame, row: st
 
     Row numbers come from a range-partitioned sort and per-partition counts, not from one task.
     """
-    r = row_numbers(rows.select(F.col(row)).distinct(), row, "r")
-    c = row_numbers(columns.select(F.col(column)).distinct(), column, "c")
+    r = row_numbers(rows.select(F.col(row)).distinct(), [row], "r")
+    c = row_numbers(columns.select(F.col(column)).distinct(), [column], "c")
     coo = salted_join(salted_join(features.select(row, column, F.col(value).alias("v")), r, [row], "inner"), c, [column], "inner").select("r", "c", "v")
     per = r.select("r").join(coo.groupBy("r").agg(F.count(F.lit(1)).alias("nnz")), "r", "left").select("r", F.coalesce("nnz", F.lit(0)).alias("nnz"))
     blocks = per.withColumn("b", F.shiftright("r", 16))
@@ -166,15 +166,6 @@ def csr_matrix(features: DataFrame, rows: DataFrame, columns: DataFrame, row: st
     return coo, ptr.select("r", (F.col("end") - F.col("nnz")).alias("start"), "end")
 
 
-def row_numbers(ids: DataFrame, order: str, name: str) -> DataFrame:
-    """Adds consecutive numbers from 0 in the order of a column, without a one-task window."""
-    placed = materialize(ids.orderBy(order).withColumn("_id", F.monotonically_increasing_id()), "numbered")
-    part = F.shiftright("_id", 33)
-    counts = placed.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))  # one row a task
-    offset = counts.select("_p", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))
-    return placed.withColumn("_p", part).join(F.broadcast(offset), "_p").withColumn(name, F.col("_o") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id", "_p", "_o")
-
-
 def detail_records(companies: DataFrame, tag_rows: DataFrame, neighbors: DataFrame | None = None, most: int = 12) -> DataFrame:
     """company_id, shard, record (JSON): the company, its tags by value and its first neighbours per space."""
     from weftline.functions.hashing import shard_for
