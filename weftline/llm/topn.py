@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.runtime import materialize, release, salted_join
+from weftline.runtime import materialize, release, rows_of, salted_join
 
 #: Shares of all rows above which the bands are cut, from the top.
 BANDS = (0.02, 0.1, 0.3, 0.6)
@@ -51,7 +51,8 @@ def top_n_per_group(rows: DataFrame, group: str, item: str, score: str, n: int,
         counts = reduce(DataFrame.unionByName, taken).groupBy("grp").agg(F.count(F.lit(1)).alias("have"))
         old, filled = filled, materialize(counts.where(F.col("have") >= n), "filled")
         release(old)
-        if filled.count() == groups:
+        if rows_of(filled) == groups:
             break
-    release(banded, filled)
-    return _ranked(reduce(DataFrame.unionByName, taken), n)
+    out = materialize(_ranked(reduce(DataFrame.unionByName, taken), n), "top")
+    release(banded, filled, *taken)
+    return out
