@@ -22,7 +22,7 @@ DATA = [("1", ["a", "b", "a", None], "x"), ("1", ["c"], "y"), ("2", ["b", "a"],
 def test_counts_equal_brute_force_and_long_baskets_are_cut_alike(spark):
     df = spark.createDataFrame(DATA, "basket string, items array<string>, n string")
     for least in (1, 2):
-        for cut in (256, 7):
+        for cut in (256, 7, 2):
             got = {(r["item_a"], r["item_b"]): (r["n"], r["n_a"], r["n_b"], r["n_ab"]) for r in cooccurrence(df, "basket", "items", least, long_basket=cut).collect()}
             assert got == brute(DATA, least)
 

@@ -1,10 +1,11 @@
 """Items that appear together: pair counts, lift and pointwise mutual information.
 
-Baskets are deduplicated in one shuffle (``collect_set`` combines before it), marginals counted,
-items that cannot reach ``min_pair`` dropped (a pair is never more frequent than its items, so
-this loses nothing), ordered pairs emitted and counted with map-side combination, and the
-measures computed from the marginals. A basket over ``long_basket`` items is cut into blocks of
-its first items which are spread over the tasks, so no task emits all pairs of a huge basket.
+(basket, item) rows are made distinct (combined before the shuffle), marginals counted, items that
+cannot reach ``min_pair`` dropped (a pair is never more frequent than its items, so this loses
+nothing), ordered pairs emitted and counted with map-side combination, and the measures computed
+from the marginals. A basket over ``long_basket`` items is never gathered: its items are spread over
+blocks of about that many by a hash, and every two of its blocks meet in a row of their own, so no
+task emits all pairs of a huge basket.
 
 Defined cases: null basket ids are ignored; null items never count; a basket without items still
 counts in ``n``; repeated rows and repeated items count once; empty input gives no rows. Other
@@ -16,45 +17,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.runtime import bounded_broadcast, materialize
-
-
-def baskets(rows: DataFrame, basket: str, items: str) -> DataFrame:
-    """One row per basket: basket, items (distinct, sorted, without nulls)."""
-    return (
-        rows.where(rows[basket].isNotNull())
-        .select(rows[basket].alias("basket"), F.explode_outer(rows[items]).alias("item"))
-        .groupBy("basket").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    )
+from weftline.runtime import attach, bounded_broadcast, materialize, release, rows_of, salted_join
 
 
 def cooccurrence(
     rows: DataFrame, basket: str, items: str, min_pair: int = 1, long_basket: int = 256, broadcast_items: int = 500_000
 ) -> DataFrame:
     """item_a < item_b, n, n_a, n_b, n_ab, lift, pmi for pairs in at least ``min_pair`` baskets."""
-    whole = materialize(baskets(rows, basket, items), "baskets")
-    n = whole.count()
-    marginals = (
-        whole.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("c"))
-        .where(F.col("c") >= min_pair)
-    )
+    each = rows.where(rows[basket].isNotNull()).select(rows[basket].alias("basket"), F.explode_outer(rows[items]).alias("item")).distinct()
+    each = materialize(each, "items")
+    sizes = materialize(each.groupBy("basket").agg(F.count("item").alias("c")), "baskets")
+    n = rows_of(sizes)
+    marginals = each.where("item IS NOT NULL").groupBy("item").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min_pair)
     marginals = materialize(marginals, "marginals")
-    kinds = marginals.count()
-    kept = whole.where(F.size("items") > 1).select("basket", F.explode("items").alias("item"))
-    kept = kept.join(bounded_broadcast(marginals.select("item"), kinds, broadcast_items), "item", "left_semi")
-    kept = kept.groupBy("basket").agg(F.sort_array(F.collect_list("item")).alias("items")).where(F.size("items") > 1)
-    step = F.lit(long_basket)
-    short = kept.where(F.size("items") <= long_basket).select("items", F.lit(0).alias("lo"), F.size("items").alias("hi"))
-    blocks = kept.where(F.size("items") > long_basket).withColumn(
-        "k", F.explode(F.sequence(F.lit(0), F.floor((F.size("items") - 1) / step).cast("int")))
-    ).repartition("basket", "k").select("items", (F.col("k") * step).alias("lo"), F.least(F.size("items"), (F.col("k") + 1) * step).alias("hi"))
-    firsts = short.unionByName(blocks).select(
-        "items", "lo", F.posexplode(F.slice("items", F.col("lo") + 1, F.col("hi") - F.col("lo"))).alias("p", "item_a")
-    )
-    pairs = firsts.select("item_a", F.explode(F.slice("items", F.col("lo") + F.col("p") + 2, F.size("items"))).alias("item_b"))
+    kinds = rows_of(marginals)
+    long = materialize(sizes.where(F.col("c") > long_basket).select("basket", F.ceil(F.col("c") / long_basket).alias("k"), "c"), "long")
+    kept = each.join(bounded_broadcast(marginals.select("item"), kinds, broadcast_items), "item", "left_semi")
+    kept = attach(kept, long, ["basket"], "c").withColumn("k", F.coalesce("k", F.lit(1).cast("long"))).withColumn("blk", F.pmod(F.xxhash64("item"), F.col("k")))
+    blocks = kept.groupBy("basket", "blk").agg(F.sort_array(F.collect_list("item")).alias("xs"), F.first("k").alias("k"))
+    if rows_of(long):
+        blocks = materialize(blocks, "blocks")
+    within = blocks.where(F.size("xs") > 1).select("xs", F.posexplode("xs").alias("p", "item_a"))
+    pairs = within.select("item_a", F.explode(F.slice("xs", F.col("p") + 2, F.size("xs"))).alias("item_b"))
+    if rows_of(long):
+        left = blocks.where("k > 1").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))).where("blk < other")
+        right = blocks.where("k > 1").select("basket", F.col("blk").alias("other"), F.col("xs").alias("ys"))
+        across = salted_join(left.select("basket", "blk", "other", "xs"), right, ["basket", "other"], "inner").repartition("basket", "blk", "other")
+        across = across.select("ys", F.explode("xs").alias("x")).select("x", F.explode("ys").alias("y"))
+        pairs = pairs.unionByName(across.select(F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b")))
     counts = pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n_ab")).where(F.col("n_ab") >= min_pair)
     side = bounded_broadcast(marginals, kinds, broadcast_items)
     out = counts.join(side.select(F.col("item").alias("item_a"), F.col("c").alias("n_a")), "item_a")
     out = out.join(side.select(F.col("item").alias("item_b"), F.col("c").alias("n_b")), "item_b")
     lift = F.col("n_ab") * F.lit(float(n)) / (F.col("n_a").cast("double") * F.col("n_b"))
-    return out.select("item_a", "item_b", F.lit(n).cast("long").alias("n"), "n_a", "n_b", "n_ab", lift.alias("lift"), F.log2(lift).alias("pmi"))
+    out = out.select("item_a", "item_b", F.lit(n).cast("long").alias("n"), "n_a", "n_b", "n_ab", lift.alias("lift"), F.log2(lift).alias("pmi"))
+    out = materialize(out, "pairs")
+    release(each, sizes, marginals, long, blocks)
+    return out
