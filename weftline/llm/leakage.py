@@ -5,21 +5,26 @@ them). The test items are indexed by their character q-grams; every document is
 q-grams looked up, and the hits counted per item in overlapping bands of diagonals. A passage of
 ``words`` words within ``edits`` edits of a document shares at least ``length - q + 1 - q * edits``
 q-grams with it on diagonals at most ``edits`` apart (the q-gram lemma), so passages below that are
-dropped without loss, and those that remain are verified by an alignment within the band. The
-items are processed in blocks of at most ``block_chars`` characters, so what is broadcast is
-bounded however many items there are; documents are never shuffled. Long documents are cut into
-overlapping segments.
+dropped without loss (of all passages of an item the lowest such bound holds for the item), and
+those that remain are verified by an alignment within the band, all passages of a chunk at once.
+The alignment decides: its distance is the number of edits, and 0 is a passage word for word.
+
+One scan of the corpus serves ``block_chars`` characters of items, so what is broadcast is bounded
+however many items there are; a worker builds the index once and keeps it. Documents are never
+shuffled. Long documents are cut into overlapping segments. Where q-grams are common to very many
+items the hits of a chunk are taken in parts of at most ``MAX_HITS``: fewer documents at a time,
+then fewer items; nothing is left out.
 
 Defined cases: null texts and texts without letters or digits match nothing; an item with fewer
-than ``words`` words is one passage; an item shorter than a q-gram is searched for directly and
-exactly; repeated items and documents give repeated findings under their own ids, equal ids once.
+than ``words`` words is one passage; an item with a passage shorter than a q-gram is searched for
+directly and exactly; items with equal canonical texts are searched once and found under all their
+ids; rows with one document id are one document, and what they cover of an item is united.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,8 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W_]+")
-SCHEMA = "doc_id long, item_id long, edits int, passage_words int, item_words int"
+SCHEMA = "doc_id long, item_id long, edits int, cover array<int>, exact array<int>, item_words int"
 _BASE = np.uint64(1099511628211)
+#: Equal q-grams of documents and items that are held at once.
+MAX_HITS = 4_000_000
 
 
 def canonical(text: str | None) -> str:
@@ -59,108 +66,126 @@ class ItemIndex:
 
     def __init__(self, items: list[tuple[int, str]], q: int, edits: int, words: int):
         self.q, self.edits, self.words = q, edits, words
-        self.ids, self.texts, self.windows, self.least, self.tiny = [], [], [], [], []
-        grams, owner, place = [], [], []
+        self.texts, self.windows, self.least, self.tiny, self.n_words = [], [], [], [], []
+        self.ids: list[list[int]] = []
+        by_text: dict[str, set[int]] = {}
         for item_id, text in items:
-            c = canonical(text)
+            by_text.setdefault(canonical(text), set()).add(item_id)
+        grams, owner, place = [], [], []
+        for c, ids in by_text.items():
             if not c:
                 continue
             ends = [i for i, ch in enumerate(c) if ch == " "]  # blanks around the words
             k = min(words, len(ends) - 1)
             windows = [(ends[i], ends[i + k] + 1) for i in range(len(ends) - k)]
-            shortest = min(b - a for a, b in windows)
-            if shortest < q:
-                self.tiny.append((item_id, c, len(ends) - 1, k, windows))
+            if min(b - a for a, b in windows) < q:
+                self.tiny.append((sorted(ids), c, len(ends) - 1, k, windows))
                 continue
             at = len(self.ids)
-            self.ids.append(item_id)
+            self.ids.append(sorted(ids))
             self.texts.append(c)
-            self.windows.append(np.array(windows, np.int64))
-            self.least.append(max(1, shortest - q + 1 - q * self.budget(shortest)))
+            self.n_words.append(len(ends) - 1)
+            w = np.array(windows, np.int64)
+            self.windows.append(w)
+            self.least.append(int(self.bound(w[:, 1] - w[:, 0]).min()))
             h = _grams(_codes(c), q)
             grams.append(h)
-            owner.append(np.full(len(h), at, np.int64))
-            place.append(np.arange(len(h), dtype=np.int64))
+            owner.append(np.full(len(h), at, np.int32))
+            place.append(np.arange(len(h), dtype=np.int32))
         h = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
-        self.owner = np.concatenate(owner)[order] if grams else np.zeros(0, np.int64)
-        self.place = np.concatenate(place)[order] if grams else np.zeros(0, np.int64)
+        self.owner = np.concatenate(owner)[order] if grams else np.zeros(0, np.int32)
+        self.place = np.concatenate(place)[order] if grams else np.zeros(0, np.int32)
         self.keys, self.first, self.count = np.unique(h[order], return_index=True, return_counts=True)
         self.marks = np.zeros(1 << 20, bool)
         self.marks[(self.keys >> np.uint64(44)).astype(np.int64)] = True
         self.least = np.array(self.least, np.int64)
+        self.codes = [_codes(t) for t in self.texts]
+
+    def budget(self, length: np.ndarray) -> np.ndarray:
+        """Edits allowed in passages of some lengths, few enough for the lemma to keep at least one q-gram."""
+        return np.clip((length - self.q) // self.q, 0, self.edits)
 
-    def budget(self, length: int) -> int:
-        """Edits allowed in a passage, few enough for the lemma to keep at least one q-gram."""
-        return max(0, min(self.edits, (length - self.q) // self.q))
+    def bound(self, length: np.ndarray) -> np.ndarray:
+        """Shared q-grams that a passage within its budget has at least. It falls where the budget steps up."""
+        return np.maximum(1, length - self.q + 1 - self.q * self.budget(length))
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Positions in ``codes``, items and positions in them, of all equal q-grams."""
+    def lookup(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``codes`` whose q-gram some item has, and its number among the keys."""
         h = _grams(codes, self.q)
         at = np.nonzero(self.marks[(h >> np.uint64(44)).astype(np.int64)])[0] if len(h) else np.zeros(0, np.int64)
         k = np.searchsorted(self.keys, h[at])
         k[k == len(self.keys)] = 0
         same = self.keys[k] == h[at] if len(self.keys) else np.zeros(0, bool)
-        at, k = at[same], k[same]
+        return at[same], k[same]
+
+    def expand(self, at: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions, items and positions in them, of all equal q-grams."""
         n = self.count[k]
         total = int(n.sum())
         start = np.repeat(self.first[k] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) if total else np.zeros(0, np.int64)
         post = start + np.arange(total)
-        return np.repeat(at, n), self.owner[post], self.place[post]
-
-
-def banded_distance(a: str, b: str, shift: int, width: int) -> int:
-    """Edit distance of ``a`` to the best stretch of ``b`` starting within ``width`` of ``shift``, inside that band; above ``width`` means more."""
-    big = width + 1
-    span = 2 * width + 1
-    row = [0 if 0 <= shift - width + j <= len(b) else big for j in range(span)]
-    for i, ch in enumerate(a):
-        new = []
-        for j in range(span):
-            p = i + shift - width + j  # b[p] is the character that would be matched
-            best = row[j] + (0 if 0 <= p < len(b) and b[p] == ch else 1)
-            if not 0 <= p < len(b):
-                best = big
-            if j + 1 < span and row[j + 1] + 1 < best:
-                best = row[j + 1] + 1
-            if j and new[j - 1] + 1 < best and 0 <= p < len(b):
-                best = new[j - 1] + 1
-            new.append(min(best, big))
-        row = new
-        if min(row) >= big:
-            return big
-    return min(row)
-
-
-def _verify(ix: ItemIndex, item: int, doc: str, diag: np.ndarray, place: np.ndarray) -> tuple[int, int] | None:
-    """(fewest edits, words covered by verified passages) of one item in one band of a document."""
-    text, windows = ix.texts[item], ix.windows[item]
-    seen = np.zeros(len(text) + 1, np.int64)
-    seen[np.unique(place) + 1] = 1
-    upto = np.cumsum(seen)
-    length = windows[:, 1] - windows[:, 0]
-    budget = np.array([ix.budget(int(x)) for x in length])
-    shared = upto[windows[:, 1] - ix.q + 1] - upto[windows[:, 0]]
-    kept = np.nonzero(shared >= np.maximum(1, length - ix.q + 1 - ix.q * budget))[0]
-    best, covered = None, set()
-    k = min(ix.words, len(windows) + ix.words - 1)
-    lo, hi = int(diag.min()), int(diag.max())
-    for w in kept:
-        a, b = map(int, windows[w])
-        part = text[a:b]
-        edits = next((0 for d in range(lo, hi + 1) if doc.startswith(part, a + d) and a + d >= 0), None)
-        if edits is None:
-            around = int(np.median(diag[(place >= a) & (place < b)]))
-            edits = banded_distance(part, doc, a + around, int(budget[w])) if budget[w] else 1
-            if edits > budget[w]:
-                continue
-        best = edits if best is None else min(best, edits)
-        covered.update(range(int(w), int(w) + k))
-    return None if best is None else (best, len(covered))
+        return np.repeat(at, n), self.owner[post].astype(np.int64), self.place[post].astype(np.int64)
+
+
+def banded_distances(parts: list[np.ndarray], text: np.ndarray, low: np.ndarray, high: np.ndarray, budget: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Edit distance of every part to the best stretch of ``text`` that starts between ``low`` and ``high``, within that band; above its budget means more.
+
+    All alignments advance together, one character of the parts a step. No character is equal to one outside ``first``..``end`` (its document).
+    """
+    n, span = len(parts), int((high - low).max()) + 1 if len(parts) else 1
+    length = np.array([len(p) for p in parts], np.int64)
+    order = np.argsort(-length, kind="stable")  # the alignments still running are a prefix
+    width = int(length.max()) if n else 0
+    chars = np.zeros((n, width), np.uint32)
+    for i, p in enumerate(order):
+        chars[i, : length[p]] = parts[p]
+    inside = np.arange(span)[None, :] <= (high - low)[order][:, None]
+    low, budget, first, end = low[order], budget[order], first[order][:, None], end[order][:, None]
+    big = (budget + 1).astype(np.int16)[:, None]
+    row = np.where(inside, 0, big).astype(np.int16)
+    out = np.zeros(n, np.int64)
+    running = n
+    for i in range(width):
+        while running and length[order[running - 1]] <= i:
+            running -= 1
+            out[order[running]] = row[running].min()
+        r = row[:running]
+        at = low[:running, None] + (i + np.arange(span))[None, :]
+        equal = (text[np.clip(at, 0, len(text) - 1)] == chars[:running, i][:, None]) & (at >= first[:running]) & (at < end[:running])
+        new = r + ~equal
+        new[:, :-1] = np.minimum(new[:, :-1], r[:, 1:] + 1)  # a character of the part is extra
+        for j in range(1, span):  # a character of the text is extra
+            np.minimum(new[:, j], new[:, j - 1] + 1, out=new[:, j])
+        new = np.where(inside[:running], np.minimum(new, big[:running]), big[:running])
+        row[:running] = new
+    for i in range(running):
+        out[order[i]] = row[i].min()
+    return out
+
+
+class _Found:
+    """What is covered of an item by a document, as bits: within the edits, and word for word."""
+
+    def __init__(self) -> None:
+        self.by: dict[tuple[int, int], list] = {}
+
+    def add(self, doc_id: int, ids: list[int], edits: int, first: int, k: int, words: int) -> None:
+        bits = ((1 << k) - 1) << first
+        for item_id in ids:
+            old = self.by.setdefault((doc_id, item_id), [edits, 0, 0, words])
+            old[0] = min(old[0], edits)
+            old[1] |= bits
+            if not edits:
+                old[2] |= bits
+
+    def rows(self) -> list[tuple]:
+        places = lambda bits: [i for i in range(bits.bit_length()) if bits >> i & 1]
+        return [(*key, edits, places(cover), places(exact), words) for key, (edits, cover, exact, words) in self.by.items()]
 
 
 def find_leaks(docs: list[tuple[int, str]], ix: ItemIndex, chunk: int = 2_000_000, segment: int = 1_000_000) -> list[tuple]:
-    """Rows (doc_id, item_id, edits, passage_words, item_words) of a list of documents."""
+    """Rows (doc_id, item_id, edits, cover, exact, item_words) of a list of documents."""
     overlap = 2 * max([len(t) for t in ix.texts] + [len(t[1]) for t in ix.tiny] + [1])
     pieces: list[tuple[int, str]] = []
     for doc_id, text in docs:
@@ -169,12 +194,7 @@ def find_leaks(docs: list[tuple[int, str]], ix: ItemIndex, chunk: int = 2_000_00
             pieces += [(doc_id, c)] if c else []
         else:
             pieces += [(doc_id, c[i : i + segment + overlap]) for i in range(0, len(c), segment)]
-    found: dict[tuple[int, int], tuple[int, int, int]] = {}
-
-    def add(doc_id: int, item_id: int, edits: int, covered: int, words: int) -> None:
-        old = found.get((doc_id, item_id), (edits, 0, words))
-        found[doc_id, item_id] = (min(edits, old[0]), max(covered, old[1]), words)
-
+    found = _Found()
     at = 0
     while at < len(pieces):
         group, size = [], 0
@@ -182,33 +202,56 @@ def find_leaks(docs: list[tuple[int, str]], ix: ItemIndex, chunk: int = 2_000_00
             group.append(pieces[at])
             size += len(pieces[at][1]) + 1
             at += 1
-        _scan(group, ix, add)
-        for item_id, c, n_words, k, windows in ix.tiny:
+        _scan(group, ix, found)
+        for ids, c, n_words, k, windows in ix.tiny:
             for doc_id, text in group:
-                got = [w for w, (a, b) in enumerate(windows) if c[a:b] in text]
-                if got:
-                    add(doc_id, item_id, 0, len({x for w in got for x in range(w, w + k)}), n_words)
-    return [(*k, *v) for k, v in found.items()]
+                for w, (a, b) in enumerate(windows):
+                    if c[a:b] in text:
+                        found.add(doc_id, ids, 0, w, k, n_words)
+    return found.rows()
 
 
-def _scan(group: list[tuple[int, str]], ix: ItemIndex, add) -> None:
+def _scan(group: list[tuple[int, str]], ix: ItemIndex, found: _Found) -> None:
+    """Looks a chunk up once, and expands the hits in parts that fit."""
     if not ix.ids:
         return
+    codes = _codes("\0".join(t for _, t in group))
+    at, k = ix.lookup(codes)
+    if not len(at):
+        return
     starts = np.cumsum([0] + [len(t) + 1 for _, t in group])
-    pos, item, place = ix.hits(_codes("\0".join(t for _, t in group)))
+    doc = np.searchsorted(starts, at, "right") - 1
+    weight = np.cumsum(ix.count[k])
+    a = 0
+    while a < len(at):
+        before = weight[a - 1] if a else 0
+        b = int(np.searchsorted(weight, before + MAX_HITS, "right"))
+        if b < len(at):  # whole documents only
+            whole = int(np.searchsorted(doc, doc[b], "left"))
+            b = whole if whole > a else int(np.searchsorted(doc, doc[b], "right"))
+        parts = -(-int(weight[b - 1] - before) // MAX_HITS)
+        for lo, hi in zip(edges := np.linspace(0, len(ix.ids), parts + 1).astype(int), edges[1:], strict=False):
+            hits = ix.expand(at[a:b], k[a:b])
+            if parts > 1:
+                mine = (hits[1] >= lo) & (hits[1] < hi)
+                hits = tuple(x[mine] for x in hits)
+            _bands(group, codes, starts, ix, hits, found)
+        a = b
+
+
+def _bands(group: list[tuple[int, str]], codes: np.ndarray, starts: np.ndarray, ix: ItemIndex, hits: tuple, found: _Found) -> None:
+    """Counts hits per document, item and band of diagonals, and verifies the passages that have enough."""
+    pos, item, place = hits
     if not len(pos):
         return
     doc = np.searchsorted(starts, pos, "right") - 1
     key = doc * len(ix.ids) + item
-    if len(group) * len(ix.ids) <= 4 * len(key) + 1_000_000:
-        enough = np.bincount(key, minlength=len(group) * len(ix.ids))[key] >= ix.least[item]
-    else:
-        _, inverse, n = np.unique(key, return_inverse=True, return_counts=True)
-        enough = n[inverse] >= ix.least[item]
+    _, inverse, n = np.unique(key, return_inverse=True, return_counts=True)
+    enough = n[inverse] >= ix.least[item]
     pos, item, place, doc, key = (x[enough] for x in (pos, item, place, doc, key))
     if not len(pos):
         return
-    diag = pos - starts[doc] - place
+    diag = pos - place  # in the chunk
     step = max(1, ix.edits)
     low = np.floor_divide(diag, step)
     # Bands of two steps, one step apart: diagonals at most `edits` apart share at least one band.
@@ -217,12 +260,34 @@ def _scan(group: list[tuple[int, str]], ix: ItemIndex, add) -> None:
     key, band, diag, place, doc, item = (x[order] for x in (key, band, diag, place, doc, item))
     edge = np.nonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (band[1:] != band[:-1])]))[0]
     last = np.concatenate([edge[1:], [len(key)]])
-    for a, b in zip(edge, last, strict=True):
-        if b - a < ix.least[item[a]]:
+    todo: set[tuple[int, int, int, int, int]] = set()  # document, item, window, lowest and highest diagonal
+    for a, b in zip(edge.tolist(), last.tolist(), strict=True):
+        i = int(item[a])
+        if b - a < ix.least[i]:
             continue
-        got = _verify(ix, int(item[a]), group[doc[a]][1], diag[a:b], place[a:b])
-        if got:
-            add(group[doc[a]][0], ix.ids[item[a]], *got, ix.texts[item[a]].count(" ") - 1)
+        windows = ix.windows[i]
+        seen = np.zeros(len(ix.texts[i]) + 1, np.int64)
+        seen[np.unique(place[a:b]) + 1] = 1
+        upto = np.cumsum(seen)
+        shared = upto[windows[:, 1] - ix.q + 1] - upto[windows[:, 0]]
+        where = (int(diag[a:b].min()), int(diag[a:b].max()))
+        kept = np.nonzero(shared >= ix.bound(windows[:, 1] - windows[:, 0]))[0]
+        todo.update((int(doc[a]), i, w, *where) for w in kept.tolist())
+    _verify(group, codes, starts, ix, sorted(todo), found)
+
+
+def _verify(group: list[tuple[int, str]], codes: np.ndarray, starts: np.ndarray, ix: ItemIndex, jobs: list[tuple], found: _Found) -> None:
+    """Aligns the passages and keeps those within their budgets."""
+    for at in range(0, len(jobs), 20_000):
+        part = jobs[at : at + 20_000]
+        doc, item, window, lo, hi = np.array(part, np.int64).T
+        spans = np.array([ix.windows[i][w] for _, i, w, _, _ in part], np.int64)
+        budget = ix.budget(spans[:, 1] - spans[:, 0])
+        pieces = [ix.codes[i][a:b] for i, (a, b) in zip(item.tolist(), spans.tolist(), strict=True)]
+        edits = banded_distances(pieces, codes, spans[:, 0] + lo - budget, spans[:, 0] + hi + budget, budget, starts[doc], starts[doc + 1] - 1)
+        for (d, i, w, _, _), e, most in zip(part, edits.tolist(), budget.tolist(), strict=True):
+            if e <= most:
+                found.add(group[d][0], ix.ids[i], e, w, min(ix.words, ix.n_words[i]), ix.n_words[i])
 
 
 def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
@@ -239,30 +304,35 @@ def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]
 
 def leaked_passages(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text",
-    words: int = 12, q: int = 10, edits: int = 2, block_chars: int = 4_000_000,
+    words: int = 12, q: int = 10, edits: int = 2, block_chars: int = 16_000_000,
 ) -> DataFrame:
-    """doc_id, item_id, edits, passage_words, item_words for every document with a passage of an item.
+    """doc_id, item_id, edits, passage_words, exact_words, item_words for every document with a passage of an item.
 
     ``edits`` is the fewest edits of any verified passage of ``words`` words (0: word for word),
-    ``passage_words`` how many of the item's words lie in verified passages.
+    ``passage_words`` how many of the item's words lie in verified passages, ``exact_words`` in passages word for word.
     """
     spark = docs.sparkSession
     corpus = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).where("text IS NOT NULL AND doc_id IS NOT NULL")
     wanted = items.select(items[item_id].cast("long").alias("item_id"), items[text].alias("text")).where("text IS NOT NULL AND item_id IS NOT NULL")
-    parts = []
+    found = None
     for block in _blocks(wanted.distinct(), block_chars):
-        shared = spark.sparkContext.broadcast(block)  # at most block_chars characters, or one item
+        shared = spark.sparkContext.broadcast({"items": block})  # at most block_chars characters, or one item
 
         def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ix = ItemIndex(shared.value, q, edits, words)
+            kept = shared.value  # the worker's own copy, which stays while the worker lives
+            if (q, edits, words) not in kept:
+                kept[q, edits, words] = ItemIndex(kept["items"], q, edits, words)
             for b in batches:
-                rows = find_leaks(list(zip(b["doc_id"].tolist(), b["text"].tolist(), strict=True)), ix)
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "passage_words", "item_words"])
-
-        parts.append(corpus.mapInPandas(scan, SCHEMA))
-    if not parts:
-        return spark.createDataFrame([], SCHEMA)
-    found = reduce(DataFrame.unionByName, parts)
-    return found.groupBy("doc_id", "item_id").agg(
-        F.min("edits").alias("edits"), F.max("passage_words").alias("passage_words"), F.max("item_words").alias("item_words")
+                rows = find_leaks(list(zip(b["doc_id"].tolist(), b["text"].tolist(), strict=True)), kept[q, edits, words])
+                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "cover", "exact", "item_words"])
+
+        part = corpus.mapInPandas(scan, SCHEMA)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return spark.createDataFrame([], "doc_id long, item_id long, edits int, passage_words long, exact_words long, item_words int")
+    each = found.select("doc_id", "item_id", "edits", "item_words", F.explode("cover").alias("p"), "exact")
+    each = each.select("doc_id", "item_id", "edits", "item_words", "p", F.array_contains("exact", F.col("p")).alias("whole"))
+    each = each.groupBy("doc_id", "item_id", "p").agg(F.min("edits").alias("edits"), F.max("item_words").alias("item_words"), F.max("whole").alias("whole"))
+    return each.groupBy("doc_id", "item_id").agg(
+        F.min("edits").alias("edits"), F.count(F.lit(1)).alias("passage_words"), F.count_if("whole").alias("exact_words"), F.max("item_words").alias("item_words")
     )
