@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from weftline.llm.setsim import link_counts, record_pairs, set_classes, similar_classes, similar_sets, t_occurrence
+from weftline.llm.setsim import class_pairs, link_counts, record_pairs, set_classes, similar_classes, similar_sets, t_occurrence
 
 
 def brute(data, t, least):
@@ -42,10 +42,21 @@ def test_equals_brute_force(spark, t, least, seed):
 def test_hot_partitions_are_cut_into_blocks(spark):
     d = data(150, 5)
     classes, members = set_classes(spark.createDataFrame(d, SCHEMA), "record", "vals", 2)
-    got = rows(record_pairs(similar_classes(classes, None, 0.6, block=3, bucket_rows=50), members))
+    got = rows(record_pairs(similar_classes(classes, None, 0.6, block_values=20, bucket_values=200), members, chunk=2))
     assert got == brute(d, 0.6, 2)
 
 
+def test_large_sets_and_many_copies(spark):
+    big = [f"v{i}" for i in range(10_000)]
+    d = [("a", big, ""), ("b", big[:-900], ""), ("c", big[2000:], ""), ("d", big[3500:], ""), *((f"x{i:04}", list("pqrs"), "") for i in range(400)), ("y", list("pqrst"), "")]
+    pairs, members = similar_sets(spark.createDataFrame(d, SCHEMA), "record", "vals", 0.7, 4)
+    linked = {(r["a"], r["b"], r["shared"]) for r in class_pairs(pairs, members).collect()}
+    assert linked == {("a", "b", 9100), ("a", "c", 8000), ("b", "c", 7100), ("c", "d", 6500), ("x0000", "y", 4)}
+    assert record_pairs(pairs, members, chunk=64).distinct().count() == 4 + 400 + 400 * 399 // 2
+    got = {r["record"]: (r["representative"], r["copies"], r["links"]) for r in link_counts(pairs, members).collect()}
+    assert got["y"] == ("y", 1, 400) and got["x0399"] == ("x0000", 400, 400) and got["c"] == ("c", 1, 3)
+
+
 def test_two_tables(spark):
     d = data(90, 8)
     classes, members = set_classes(spark.createDataFrame(d, SCHEMA), "record", "vals", 2)

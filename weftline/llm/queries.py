@@ -11,7 +11,7 @@ from weftline.llm.leakage import leaked_passages
 from weftline.llm.mixture import count_tokens, distinct_texts, mix_report, mix_sources
 from weftline.llm.quota_sample import cell_members, current_rows, plan_quotas, quota_sample
 from weftline.llm.residue import is_residue, mine_templates, residue_documents
-from weftline.llm.setsim import link_counts, record_pairs, similar_sets
+from weftline.llm.setsim import class_pairs, link_counts, record_pairs, similar_sets
 from weftline.llm.topn import top_n_per_group
 from weftline.runtime import materialize, squeeze
 from weftline.sources.tables import table
@@ -43,39 +43,48 @@ FROM x WHERE n_ab >= 2"""
 # --- 2 similar pairs between set-valued records
 
 
-def _set_fields(companies: DataFrame) -> dict:
-    return {"tag_ids": companies["tag_ids"], "source_tags": F.transform(companies["source_tags"], lambda x: F.lower(squeeze(x)))}
+def _similar(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Both fields at once: a record is (field, company), and a value carries its field."""
+    companies = table(spark, d, "companies")
+    ids, tags = F.transform("tag_ids", lambda x: F.concat(F.lit("t "), x)), F.transform("source_tags", lambda x: F.concat(F.lit("s "), F.lower(squeeze(x))))
+    values = F.array(*(F.struct(F.lit(n).alias("f"), c.alias("vs")) for n, c in (("tag_ids", ids), ("source_tags", tags))))
+    rows = companies.where("company_id IS NOT NULL").select("company_id", F.explode(values).alias("s"))
+    return similar_sets(rows, F.struct(F.col("s.f").alias("field_name"), "company_id"), F.col("s.vs"), 0.7, min_size=4)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    companies = table(spark, d, "companies")
-    out = None
-    for name, values in _set_fields(companies).items():
-        pairs = record_pairs(*similar_sets(companies, "company_id", values, 0.7, min_size=4))
-        one = pairs.select(F.lit(name).alias("field_name"), F.col("record_a").alias("company_a"), F.col("record_b").alias("company_b"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    pairs = record_pairs(*_similar(spark, d))
+    return pairs.select("record_a.field_name", F.col("record_a.company_id").alias("company_a"), F.col("record_b.company_id").alias("company_b"))
 
 
 def p2_links(spark: SparkSession, d: str) -> DataFrame:
-    """One row per company and field with its class of equal sets and its number of partners."""
-    companies = table(spark, d, "companies")
-    out = None
-    for name, values in _set_fields(companies).items():
-        one = link_counts(*similar_sets(companies, "company_id", values, 0.7, min_size=4)).select(F.lit(name).alias("field_name"), F.col("record").alias("company_id"), "class_id", "links")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """One row per company and field: the representative of its equal sets, how many there are, and its number of partners."""
+    out = link_counts(*_similar(spark, d))
+    return out.select("record.field_name", "record.company_id", F.col("representative.company_id").alias("representative"), "copies", "links")
+
+
+def p2_class_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The similar pairs of different sets, by their representatives; with p2_links as membership this is every link."""
+    out = class_pairs(*_similar(spark, d))
+    return out.select("a.field_name", F.col("a.company_id").alias("company_a"), F.col("b.company_id").alias("company_b"), *(F.col(c).cast("bigint").alias(c) for c in ("size_a", "size_b", "shared")))
 
 
-P2_FOUND_SQL = r"""
+_P2 = r"""
 WITH e AS (SELECT DISTINCT 'tag_ids' AS field_name, company_id, unnest(tag_ids) AS v FROM companies
   UNION SELECT 'source_tags', company_id, lower(trim(regexp_replace(v, '\s+', ' ', 'g'))) FROM (SELECT company_id, unnest(source_tags) AS v FROM companies)),
 f AS (SELECT * FROM e WHERE v IS NOT NULL), n AS (SELECT field_name, company_id, count(*) AS n FROM f GROUP BY ALL HAVING count(*) >= 4),
 g AS (SELECT f.* FROM f JOIN n USING (field_name, company_id)),
-p AS (SELECT a.field_name, a.company_id AS company_a, b.company_id AS company_b, count(*) AS k FROM g a JOIN g b ON a.field_name = b.field_name AND a.v = b.v AND a.company_id < b.company_id GROUP BY ALL)
-SELECT p.field_name, company_a, company_b FROM p JOIN n x ON x.field_name = p.field_name AND x.company_id = company_a
-JOIN n y ON y.field_name = p.field_name AND y.company_id = company_b WHERE k * 10 >= 7 * (x.n + y.n - k)
+p AS (SELECT a.field_name, a.company_id AS company_a, b.company_id AS company_b, count(*) AS k FROM g a JOIN g b ON a.field_name = b.field_name AND a.v = b.v AND a.company_id < b.company_id GROUP BY ALL),
+l AS (SELECT p.field_name, company_a, company_b, x.n AS size_a, y.n AS size_b, k AS shared FROM p JOIN n x ON x.field_name = p.field_name AND x.company_id = company_a
+JOIN n y ON y.field_name = p.field_name AND y.company_id = company_b WHERE k * 10 >= 7 * (x.n + y.n - k)),
+r AS (SELECT field_name, company_id, min(company_id) OVER w AS representative, count(*) OVER w AS copies
+  FROM (SELECT field_name, company_id, list(v ORDER BY v) AS vs FROM g GROUP BY ALL) WINDOW w AS (PARTITION BY field_name, vs))
 """
+P2_FOUND_SQL = _P2 + "SELECT field_name, company_a, company_b FROM l"
+P2_LINKS_SQL = _P2 + """, ends AS (SELECT field_name, company_a AS company_id FROM l UNION ALL SELECT field_name, company_b FROM l), c AS (SELECT field_name, company_id, count(*) AS links FROM ends GROUP BY ALL)
+SELECT field_name, company_id, representative, copies, coalesce(links, 0) AS links FROM r LEFT JOIN c USING (field_name, company_id)"""
+P2_CLASS_PAIRS_SQL = _P2 + """SELECT l.* FROM l JOIN r x ON x.field_name = l.field_name AND x.company_id = company_a AND x.representative = company_a
+JOIN r y ON y.field_name = l.field_name AND y.company_id = company_b AND y.representative = company_b WHERE shared < size_a OR shared < size_b"""
 
 # --- 4 sample matching target category proportions
 
@@ -238,8 +247,8 @@ def p10_templates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_links": p2_links, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report,
+    "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_links": p2_links, "p2_class_pairs": p2_class_pairs, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report,
     "p6_found": p6_found, "p7_found": p7_found, "p8_found": p8_found, "p8_passages": p8_passages,
     "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_clean": p10_clean, "p10_templates": p10_templates,
 }
-ORACLES = {"p1_found": P1_FOUND_SQL, "p1_pairs": P1_PAIRS_SQL, "p2_found": P2_FOUND_SQL, "p4_found": P4_FOUND_SQL, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL, "p8_found": P8_FOUND_SQL}
+ORACLES = {"p1_found": P1_FOUND_SQL, "p1_pairs": P1_PAIRS_SQL, "p2_found": P2_FOUND_SQL, "p2_links": P2_LINKS_SQL, "p2_class_pairs": P2_CLASS_PAIRS_SQL, "p4_found": P4_FOUND_SQL, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL, "p8_found": P8_FOUND_SQL}
