@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 
 from tests.conftest import rows
 from weftline.llm.components import connected_components
-from weftline.llm.quota_sample import cell_members, current_rows, plan_quotas, quota_sample
+from weftline.llm.quota_sample import cell_members, current_rows, plan_quotas, quota_sample, reservoirs
 from weftline.llm.topn import top_n_per_group
 
 
@@ -62,20 +62,28 @@ def test_quota_sample(spark):
     df = spark.createDataFrame(base + old + base[:50], "company string, industry string, year int, version int, key string")
     current = current_rows(df, "company", "version", ["industry", "year"])
     assert current.count() == 900
-    cells = spark.createDataFrame(CELLS, "cell_id int, category string, lo int, hi int")
-    members = cell_members(current, cells, "industry", "year")
+    plan = [(*c, t, m) for c, t, m in zip([*CELLS, (5, "retail", 2005, 2005)], (500, 300, 100, 100, 0), (3, 3, 200, 2, 5), strict=True)]
+    cells = spark.createDataFrame(plan, "cell_id int, category string, lo int, hi int, target_permille int, min_count int")
     have = Counter()
     for _, ind, y, *_ in base:
         name = (ind or "").strip().lower() or "unlisted"
-        for i, c, lo, hi in CELLS:
+        for i, c, lo, hi, *_ in plan:
             have[i] += name == c.lower() and lo <= (y or 0) <= hi
-    assert Counter(r["cell_id"] for r in members.collect()) == +have
-    quotas = plan_quotas([(1, 0.5, 3, have[1]), (2, 0.3, 3, have[2]), (3, 0.1, 200, have[3]), (4, 0.1, 2, 0)], 90)
-    drawn = rows(quota_sample(members, quotas))
-    assert Counter(c for c, _ in drawn) == +Counter(quotas)
-    assert len({k for _, k in drawn}) == len(drawn)
-    assert drawn == rows(quota_sample(members.repartition(3), quotas))
-    assert quota_sample(members.limit(0), quotas).count() == 0
+    for run_rows in (20_000, 30):
+        s = quota_sample(df, cells, "company", "version", "industry", "year", run_rows=run_rows)
+        report = {r["cell_id"]: r for r in s.report().collect()}
+        assert {i: r["available"] for i, r in report.items()} == {i: have[i] for i, *_ in plan} and report[1]["need"] == 45 and report[5]["drawable"] == 0
+        drawn = rows(s.sample())
+        assert Counter(c for c, _ in drawn) == +Counter(s.quotas()) and len({k for _, k in drawn}) == len(drawn)
+        told = {r["cell_id"]: (r["drawn"], r["unmet"], r["reason"]) for r in s.outcome().collect()}
+        assert told[3] == (min(have[3], 200), max(0, 200 - have[3]), "exhausted" if have[3] < 200 else None) and told[4][1:] == (9, "exhausted") and told[5] == (0, 5, "overlap")
+        assert told[1][2] == told[2][2] == "crowded_out" and told[1][1] == 45 - told[1][0]
+        if run_rows == 30:
+            assert s.kept.runs.count() > 40 and drawn == before
+        before = drawn
+    empty = quota_sample(df.limit(0), cells, "company", "version", "industry", "year")
+    assert empty.sample().count() == 0 and empty.report().count() == 5
+    assert quota_sample(df, cells.limit(0), "company", "version", "industry", "year").sample().count() == 0
 
 
 def test_quotas_add_up_and_report_what_is_missing():
@@ -84,7 +92,12 @@ def test_quotas_add_up_and_report_what_is_missing():
     assert plan_quotas([(1, 1.0, 5, 3)], 100) == {1: 3}
 
 
-def test_members_are_drawn_evenly(spark):
-    members = spark.range(4000).selectExpr("1 AS cell_id", "CAST(id AS STRING) AS key")
-    got = [int(k) for _, k in rows(quota_sample(members, {1: 1000}, bands_log2=4))]
-    assert len(got) == 1000 and 850 < sum(g < 2000 for g in got) / 500 * 850 < 1000
+def test_reservoirs_merge_and_draw_evenly(spark):
+    cells = spark.createDataFrame([(1, "a", 0, 9)], "cell_id int, category string, lo int, hi int")
+    current = spark.range(4000).selectExpr("CAST(id AS STRING) AS key", "'A' AS c", "1 AS y")
+    whole = reservoirs(cell_members(current, cells, "c", "y"), 4000, 1000, run_rows=100)
+    parts = reservoirs(cell_members(current.repartition(7), cells, "c", "y"), 4000, 1000, run_rows=100)
+    got = [int(k) for _, k in rows(whole.trim({1: 1000}))]
+    assert rows(whole.trim({1: 1000})) == rows(parts.trim({1: 1000})) and whole.trim({1: 0}).count() == 0
+    assert len(got) == 1000 and 440 < sum(g < 2000 for g in got) < 560
+    assert {k for _, k in rows(whole.trim({1: 300}))} < {k for _, k in rows(whole.trim({1: 1000}))}  # smallest priorities first

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from weftline.llm.components import connected_components
 from weftline.llm.cooccurrence import cooccurrence
 from weftline.llm.leakage import leaked_passages
-from weftline.llm.mixture import count_tokens, distinct_texts, mix_report, mix_sources
-from weftline.llm.quota_sample import cell_members, current_rows, plan_quotas, quota_sample
+from weftline.llm.mixture import count_tokens, distinct_texts, mix_plan, mix_report, mix_sources
+from weftline.llm.quota_sample import QuotaSample, quota_sample
 from weftline.llm.residue import is_residue, mine_templates, residue_documents
 from weftline.llm.setsim import class_pairs, link_counts, record_pairs, similar_sets
 from weftline.llm.topn import top_n_per_group
@@ -95,54 +95,39 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
     ).distinct()
 
 
-def _sample_plan(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, int]:
-    """Reservoir members (written once), cells with counts and needs, sample size."""
-    current = current_rows(table(spark, d, "companies_normalized"), "company_id", "updated_at", ["industry", "batch_year"])
-    current = materialize(current, "current")
-    size = current.count() // 10
-    cells = _cells(spark, d)
-    members = cell_members(current, cells, "industry", "batch_year")
-    have = members.groupBy("cell_id").agg(F.count_distinct("key").alias("available"))
-    need = F.greatest(F.ceil(F.col("target_permille").cast("long") * size / 1000), F.col("min_count").cast("long"))
-    counted = cells.join(F.broadcast(have), "cell_id", "left").select(  # one row a cell
-        "cell_id", "target_permille", "min_count", need.alias("need"), F.coalesce("available", F.lit(0)).cast("long").alias("available")
-    )
-    return members, counted, size
+def _sample(spark: SparkSession, d: str) -> QuotaSample:
+    return quota_sample(table(spark, d, "companies_normalized"), _cells(spark, d), "company_id", "updated_at", "industry", "batch_year")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return _sample_plan(spark, d)[1].where("available < need").select("cell_id").distinct()
-
-
-def _quotas(counted: DataFrame, size: int) -> dict[int, int]:
-    rows = counted.collect()  # one row a cell
-    return plan_quotas([(r["cell_id"], r["target_permille"] / 1000, r["min_count"], r["available"]) for r in rows], size)
+    """The exhausted reservoirs: those whose final counts are below what their cells need."""
+    return _sample(spark, d).report().where("available < need").select("cell_id").distinct()
 
 
 def p4_sample(spark: SparkSession, d: str) -> DataFrame:
-    members, counted, size = _sample_plan(spark, d)
-    return quota_sample(members, _quotas(counted, size)).select("cell_id", F.col("key").alias("company_id"))
+    return _sample(spark, d).sample().select("cell_id", F.col("key").alias("company_id"))
 
 
 def p4_report(spark: SparkSession, d: str) -> DataFrame:
-    """Per cell: wanted and reached share, what it had, needed and gave, and what is missing."""
-    members, counted, size = _sample_plan(spark, d)
-    drawn = quota_sample(members, _quotas(counted, size)).groupBy("cell_id").agg(F.count(F.lit(1)).alias("drawn"))
-    return counted.join(F.broadcast(drawn), "cell_id", "left").select(  # one row a cell
-        "cell_id", (F.col("target_permille") / 1000).alias("target_share"), F.round(F.coalesce("drawn", F.lit(0)) / F.lit(max(1, size)), 6).alias("share"),
-        "available", "need", F.coalesce("drawn", F.lit(0)).alias("drawn"), F.greatest(F.col("need") - F.col("available"), F.lit(0)).alias("missing"),
-    )
+    """Per cell: what it needs, what there is, and what is missing."""
+    return _sample(spark, d).report().select("cell_id", F.col("target_permille").cast("bigint").alias("target_permille"), "need", "available", "missing")
+
+
+def p4_outcome(spark: SparkSession, d: str) -> DataFrame:
+    """Per cell: the share wanted and drawn, and where the need was not met and why."""
+    return _sample(spark, d).outcome().select("cell_id", (F.col("target_permille") / 1000).alias("target_share"), "share", "need", "available", "drawn", "unmet", "reason")
 
 
-P4_FOUND_SQL = r"""
+_P4 = r"""
 WITH c AS (SELECT company_id, arg_max({'i': industry, 'y': batch_year}, updated_at) AS s FROM companies_normalized GROUP BY company_id),
 k AS (SELECT company_id, lower(CASE WHEN trim(regexp_replace(coalesce(s.i, ''), '\s+', ' ', 'g')) = '' THEN 'Unlisted' ELSE trim(regexp_replace(s.i, '\s+', ' ', 'g')) END) AS i, coalesce(s.y, 0) AS y FROM c),
-m AS (SELECT count(*) // 10 AS m FROM c)
-SELECT t.cell_id FROM sample_targets t, m
-LEFT JOIN k ON k.i = lower(trim(regexp_replace(t.industry, '\s+', ' ', 'g'))) AND k.y BETWEEN t.year_lo AND t.year_hi
-GROUP BY t.cell_id, t.target_permille, t.min_count, m.m
-HAVING count(k.company_id) < greatest((t.target_permille * m.m + 999) // 1000, t.min_count)
+m AS (SELECT count(*) // 10 AS m FROM c),
+r AS (SELECT t.cell_id, t.target_permille::BIGINT AS target_permille, greatest((t.target_permille * m.m + 999) // 1000, t.min_count)::BIGINT AS need, count(k.company_id) AS available FROM sample_targets t, m
+  LEFT JOIN k ON k.i = lower(trim(regexp_replace(t.industry, '\s+', ' ', 'g'))) AND k.y BETWEEN t.year_lo AND t.year_hi
+  GROUP BY t.cell_id, t.target_permille, t.min_count, m.m)
 """
+P4_FOUND_SQL = _P4 + "SELECT cell_id FROM r WHERE available < need"
+P4_REPORT_SQL = _P4 + "SELECT cell_id, target_permille, need, available, greatest(need - available, 0) AS missing FROM r"
 
 # --- 6 top N items within every group
 
@@ -196,34 +181,46 @@ def p8_passages(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumn("covered", F.round(F.col("passage_words") / F.col("item_words"), 6))
 
 
+def p8_cover(spark: SparkSession, d: str) -> DataFrame:
+    """How many words of each item a document holds word for word."""
+    found = leaked_passages(table(spark, d, "documents"), table(spark, d, "eval_items")).where("edits = 0")
+    return found.select("doc_id", "item_id", "exact_words", F.col("item_words").cast("bigint").alias("item_words"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Passages that the alignment found to have no edit."""
     found = leaked_passages(table(spark, d, "documents"), table(spark, d, "eval_items"))
     return found.where("edits = 0").select("doc_id", "item_id")
 
 
-P8_FOUND_SQL = r"""
+_P8 = r"""
 WITH d AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), ' ') || ' ' AS t FROM documents),
 i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_items),
-p AS (SELECT DISTINCT item_id, ' ' || array_to_string(list_slice(w, k, k + least(12, len(w)) - 1), ' ') || ' ' AS t
-  FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(12, len(w)) + 1)) AS k FROM i WHERE len(w) > 0))
-SELECT DISTINCT doc_id, item_id FROM d JOIN p ON contains(d.t, p.t)
+p AS (SELECT DISTINCT item_id, k, len(w) AS n, ' ' || array_to_string(list_slice(w, k, k + least(12, len(w)) - 1), ' ') || ' ' AS t
+  FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(12, len(w)) + 1)) AS k FROM i WHERE len(w) > 0)),
+f AS (SELECT doc_id, item_id, k, n FROM d JOIN p ON contains(d.t, p.t))
 """
+P8_FOUND_SQL = _P8 + "SELECT DISTINCT doc_id, item_id FROM f"
+P8_COVER_SQL = _P8 + """SELECT doc_id, item_id, count(DISTINCT pos) AS exact_words, n AS item_words
+FROM (SELECT doc_id, item_id, n, unnest(generate_series(k, k + least(12, n) - 1)) AS pos FROM f) GROUP BY doc_id, item_id, n"""
 
 # --- 9 mixing sources to target weights
 
 
-def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _mixture(spark: SparkSession, d: str) -> tuple:
     texts = materialize(distinct_texts(count_tokens(table(spark, d, "documents"), "doc_kind")), "tokens")
     targets = table(spark, d, "mix_targets").select("source", (F.col("target_permille") / 1000).alias("target_share"), "max_repeats").distinct()
-    return texts, mix_sources(texts, targets), targets
+    plan = mix_plan(texts, targets)
+    return texts, mix_sources(texts, plan), targets, plan
 
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     """The drawn documents, with how often each is used."""
-    return _mixture(spark, d)[1]
+    return _mixture(spark, d)[1].select("doc_id", "source", "tokens", "repeats")
 
 
 def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    """Wanted, raked and reached shares of sources, languages and topics."""
     return mix_report(*_mixture(spark, d))
 
 
@@ -247,8 +244,12 @@ def p10_templates(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_links": p2_links, "p2_class_pairs": p2_class_pairs, "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report,
-    "p6_found": p6_found, "p7_found": p7_found, "p8_found": p8_found, "p8_passages": p8_passages,
+    "p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_links": p2_links, "p2_class_pairs": p2_class_pairs,
+    "p4_found": p4_found, "p4_sample": p4_sample, "p4_report": p4_report, "p4_outcome": p4_outcome,
+    "p6_found": p6_found, "p7_found": p7_found, "p8_found": p8_found, "p8_passages": p8_passages, "p8_cover": p8_cover,
     "p9_mix": p9_mix, "p9_report": p9_report, "p10_found": p10_found, "p10_clean": p10_clean, "p10_templates": p10_templates,
 }
-ORACLES = {"p1_found": P1_FOUND_SQL, "p1_pairs": P1_PAIRS_SQL, "p2_found": P2_FOUND_SQL, "p2_links": P2_LINKS_SQL, "p2_class_pairs": P2_CLASS_PAIRS_SQL, "p4_found": P4_FOUND_SQL, "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL, "p8_found": P8_FOUND_SQL}
+ORACLES = {
+    "p1_found": P1_FOUND_SQL, "p1_pairs": P1_PAIRS_SQL, "p2_found": P2_FOUND_SQL, "p2_links": P2_LINKS_SQL, "p2_class_pairs": P2_CLASS_PAIRS_SQL, "p4_found": P4_FOUND_SQL, "p4_report": P4_REPORT_SQL,
+    "p6_found": P6_FOUND_SQL, "p7_found": P7_FOUND_SQL, "p8_found": P8_FOUND_SQL, "p8_cover": P8_COVER_SQL,
+}
