@@ -1,7 +1,6 @@
 import pytest
 
-from tests.conftest import rows
-from weftline.llm.residue import mine_templates, verdict
+from weftline.llm.residue import slots
 
 
 @pytest.mark.parametrize(
@@ -13,7 +12,7 @@ from weftline.llm.residue import mine_templates, verdict
     ],
 )
 def test_long_instructions_and_marks_beside_product_words_are_slots(unit):
-    assert verdict(unit) == "slot"
+    assert slots(unit)
 
 
 @pytest.mark.parametrize(
@@ -24,15 +23,4 @@ def test_long_instructions_and_marks_beside_product_words_are_slots(unit):
     ],
 )
 def test_texts_about_marks_stay_texts(unit):
-    assert verdict(unit) in ("text", "short")
-
-
-def test_a_template_never_mixes_verdicts(spark):
-    units = [f"We could not load a {w}." for w in ("barge", "page", "wagon", "server", "cart")]
-    assert len({verdict(u) for u in units}) > 1
-    df = spark.createDataFrame([(i, u) for i, u in enumerate(units)], "doc_id long, text string")
-    whole = mine_templates(df)
-    keys = df.selectExpr("xxhash64(text) AS h1", "text")
-    got = {r["text"]: r["verdict"] for r in whole.join(keys, "h1").collect()}
-    assert got == {u: verdict(u) for u in units}
-    assert rows(mine_templates(df, leaf_rows=1).select("h1", "verdict")) == rows(whole.select("h1", "verdict"))
+    assert not slots(unit)

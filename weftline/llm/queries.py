@@ -228,7 +228,7 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return residue_documents(table(spark, d, "documents")).where(is_residue()).select("doc_id")
+    return residue_documents(table(spark, d, "documents")).where(is_residue()).select("doc_id").distinct()
 
 
 def p10_clean(spark: SparkSession, d: str) -> DataFrame:
@@ -238,9 +238,9 @@ def p10_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_templates(spark: SparkSession, d: str) -> DataFrame:
-    """The mined templates that occur at least twice, with their verdicts."""
-    t = mine_templates(table(spark, d, "documents"))
-    return t.groupBy("template", "verdict").agg(F.sum("n").alias("units")).where("units > 1")
+    """The mined message templates that occur in at least two documents, with their support and verdicts."""
+    templates, _ = mine_templates(table(spark, d, "documents"))
+    return templates.where("docs > 1").select("template", "units", "docs", "alone", F.round("p", 6).alias("p"), "verdict")
 
 
 QUERIES = {

@@ -1,42 +1,51 @@
 """Template residue and error-page text.
 
-Texts are cut into units (sentences and lines), digits are masked, and every distinct unit is
-looked at once: a prefix tree of fixed depth (token count, first tokens, kinds of marks) leads to
-a leaf in which units that agree in most tokens share a message template. Every distinct unit is
-classified, its verdict is part of the leaf, and so a template has the one verdict of all its units,
-wherever leaves are cut; it goes on to the documents:
+One pass over the documents cuts texts into units (sentences and lines), finds unfilled slots inside
+them by their marks, and gives every unit a probability of being a notice by a small classifier
+(:mod:`weftline.llm.notices`, fitted on a bounded labelled sample). Units that may be notices, a few
+in a hundred, go on: message templates are mined over them with a prefix tree of fixed depth. Its
+first levels are the number of tokens and the first two tokens; in a leaf a token is constant at its
+place if it has its share of the leaf's units there, else it is a wildcard, and units of the same
+constants are one template. Counts add up, so the tree is mined by aggregations that combine before
+their shuffle, and is the same however rows are cut or ordered; no leaf is gathered.
+
+Each template is classified once: by the mean probability of its units over the documents that hold
+them and by its support: of what several documents hold, a message stands alone in most of them, and an
+ordinary sentence beside others. The verdict goes back to the units, each of which has been checked
+itself: one without any doubt is no notice whatever its template, and a sure one is.
 
 * ``slot``: an unfilled slot, an instruction to fill one, or a program's word for no value;
 * ``notice``: an error or block message, filler, stand-in copy, or a notice that scripts are needed;
-* ``weak``: a headline with a code, or a sentence that only has words of error messages but tells nothing by itself;
-* ``around``: names, titles, navigation, footers;
+* ``around``: names, titles, navigation, footers, bare codes;
 * ``short``: other units of at most six words;
 * ``text``: everything else, texts about such things included.
 
-A document is residue if it has a slot anywhere, or a notice or two weak units and no text (two
-notices may have one short unit beside them, an unknown headline). Unresolved slots are
-found within ordinary units by their marks, whose sentence must not be about the marks.
+A document is residue if it has a slot anywhere, or a notice and no text (two notices may have one
+short unit beside them, an unknown headline). Unresolved slots are found within ordinary units by
+their marks, whose sentence must not be about the marks.
 
-A unit is a notice by the words it is made of: it needs a telling word or phrase, and (but for a
-leading name) nearly all its content words must be of the vocabulary of such notices. Texts about
-errors or scripts bring other words along.
-
-Defined cases: null and blank texts are no residue; a unit has no length limit; repeated
-documents give one row per id.
+Defined cases: null and blank texts are no residue; a unit has no length limit; rows with one
+document id are looked at each for itself, equal ones once; empty tables give no rows.
 """
 
 from __future__ import annotations
 
 import re
-from operator import eq
+import zlib
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.runtime import MAX_HOT_KEYS, hot_keys, materialize, release, salted_join
+from weftline.llm.notices import NoticeModel, fit
+from weftline.runtime import materialize, release, rows_of, salted_join
 
-UNIT_BREAK = r"\R+|(?<=[.!?…])\s+"
+UNIT_BREAK = re.compile(r"[\n\r\u2028\u2029]+|(?<=[.!?…])\s+")
+#: Probabilities: a notice by itself; a unit in doubt, for its template to decide; an instruction to fill in; navigation.
+SURE, DOUBT, FILL, AROUND = 0.95, 0.2, 0.7, 0.6
+#: A template of at least so many documents is a notice if this share of them holds no text beside it; one of fewer if it is likely.
+SUPPORT, ALONE, LIKELY = 3, 0.5, 0.5
 
 # --- marks
 
@@ -54,6 +63,8 @@ SLOT = re.compile(
 )
 #: Marks that also have ordinary uses; their inside decides.
 BRACKET = re.compile(r"(?<![!\]\w])\[([^\[\]]+)\](?!\()|<([A-Za-z][^<>]*)>|«\s?([^«»]{1,40})\s?»|\(([^()]+)\)")
+#: Titled words in brackets that are links, not slots.
+LINKS = set("home about blog docs documentation pricing careers jobs contact team help login status product products features support privacy terms imprint legal cookies search menu press news faq back top next previous download share more".split())
 HTML = set("a abbr b blockquote body br button code dd div dl dt em footer form h h1 h2 h3 h4 h5 h6 head header hr html i iframe img input label li link main meta nav ol option p pre q s script section select small span strike strong style sub sup table tbody td th thead title tr tt u ul video".split())
 HERE = re.compile(r"(?i)\bgoes here\b|^(?:insert|enter|add|your|type|fill in|write|replace with|put|choose|select)\b.*|.*\b(?:here|einfügen|eintragen|aquí|ici)$|^(?:ihr|ihre|votre|su|tu)\b.*")
 NO_VALUE = re.compile(r"(?<![\w.\"'`/-])(?:\(null\)|null|NULL|undefined|NaN|None|nil|#N/A|#REF!|#VALUE!|#NAME\?|#DIV/#!|N/A)(?![\w\"'`])")
@@ -75,76 +86,14 @@ _HOLDER = r"(?:templates?|marks?|markers?|tokens?|variables?|macros?|brackets?|b
 _BEFORE_MARK = re.compile(r"(?i)\b(?:" + _HOLDER + r"(?:\s+(?:uses?|like|such as|named|called|contains?|holds?|wie|como|comme))?|types?|typed|typing|fills?|fill in|renders?|substitutes?|replaces?|escapes?|parses?|füllt|füllen|rellenan?|remplit|remplissent)\s+(?:(?:the|a|an|el|la|le|den|die|das)\s+)?[`\"'“‘]?$")
 _AFTER_MARK = re.compile(r"(?i)^[`\"'”’]?\s+(?:" + _HOLDER + r"|se completan?)\b")
 
-# --- vocabularies of notices
-
-_STOP = (
-    "a an the of to in on at by over under for from with and or but if so as is are was were be been it its this that these those there here you your yours we our us i me my he she they them their not no do does did "
-    "has have had can could will would may might must should than then when while until before after again please just now only also very more some any all one two "
-    "der die das den dem des ein eine einer und oder nicht sie ihre ihren ihr es ist sind wurde wird zu zur zum auf mit für von im in den ohne um nutzen kann können diese dieser dieses bitte "
-    "el la los las un una unos de del al y o no se su sus es son fue para por con sin que en este esta esto puede pudo más "
-    "le les une des du et ou ne pas pour par avec sans que qui en ce cette cet est sont été peut il elle vous votre vos nous n l d s a plus"
-)
-STOP = set(_STOP.split())
-_ERROR = (
-    "page pages found find located locate exist exists existent error errors server servers internal request requests requested requesting rate limit limits permission permissions view resource forbidden access accessed denied deny "
-    "unavailable available service temporarily temporary moved deleted removed gone away expired session try trying later minutes moments moment few back come return go homepage home search use menu link links followed broken address url typed entered leads nowhere "
-    "refresh reload see whether works work working further details detail provided problem problems persists persist contact site owner administrator support webmaster engineers team told notified informed about something went wrong oops whoops sorry uh oh ouch apologies unexpected condition complete completed "
-    "unhandled exception thrown processing process failed failure fail upstream gateway bad timeout timed out took too long answer answered respond responded response backend down maintenance scheduled doing soon up many automated traffic network stopped blocked block verify person human robot captcha continue "
-    "log login sign signed first open opened profile once authorized unauthorized authorised required authentication certificate database connection connect connected connecting disconnect headers reset reason overflow healthy host code status message record trace id ref reference incident http https invalid "
-    "snag hit capacity offline opened right nothing out fatal call missing method render line file warning traceback most recent last keyerror typeerror valueerror cannot read reading properties undefined null name company query expects parameter given none liquid snippet load loading looking object stack syntax parse unable handle handled unknown not page's what were going checking browser secure security check ray cloud ip banned suspended account disabled parked domain "
-    "seite angeforderte gefunden existiert verschoben fehler serverfehler interner anfrage verarbeiten konnte konnten zugriff verweigert wartungsarbeiten wartung versuchen später erneut zurück startseite dienst verfügbar leider sitzung abgelaufen viele anfragen verboten berechtigung "
-    "página pagina solicitada existe movida encontrada encontrado servidor completar solicitud inténtelo intente nuevo tarde volver inicio acceso denegado prohibido mantenimiento servicio disponible interno error algo salió mal sesión expirada demasiadas solicitudes "
-    "page demandée existe déplacée introuvable serveur pu traiter demande veuillez réessayer tard retour accueil accès refusé interdit maintenance cours erreur interne indisponible service trop requêtes session expirée"
-)
-_SCRIPT = (
-    "javascript js script scripts scripting active enable enabled enabling disabled disable turn turned switch switched on off allow allowed blocked block require requires required need needs needed support supports supported browser browsers settings reload refresh page pages site website app application view viewing content cookies "
-    "cannot see shown show display displayed profile run running loading load loads nothing happens happen check looks like regrettably unfortunately sorry little use stays stay works work without continue continuing open properly correctly function features "
-    "skripte aktivieren aktiviert seite anwendung benötigt inhalt angezeigt werden einschalten browser "
-    "necesita requiere active activar aplicación usar mostrar contenido sitio navegador habilite puede "
-    "activer nécessite application utiliser contenu afficher affiche site navigateur s veuillez désactivé"
-)
-_FILL = (
-    "text texts goes placeholder sample dummy copy content description edit editing click change replace replaced paragraph own story add short introduction introduce company describe product products sentence sentences three space tell visitors service services write something team heading headline subtitle title item entry publish published launch "
-    "feature features four five test example demo draft lorem ipsum insert enter type image caption here's brief about stand default untitled new post hello world tagline section button label use this be will filler coming soon "
-    "beispieltext hier inhalt einfügen text platzhalter blindtext musterfirma ihr schreiben "
-    "escriba escribe aquí texto ejemplo contenido inserte añada agregue "
-    "texte ici votre exemple contenu insérer ajoutez écrivez faux remplacez"
-)
-_LATIN = (
-    "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur "
-    "excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum pellentesque habitant morbi tristique senectus netus malesuada fames ac turpis egestas vivamus vestibulum tortor quam feugiat vitae ultricies eget mauris donec sapien maecenas cras integer praesent nec nunc vel"
-)
-_NAV = (
-    "home about blog docs documentation pricing careers jobs contact team help login log in sign up status product products features support privacy terms imprint legal cookies search menu press news faq all rights reserved copyright inicio contacto equipo ayuda precios blog kontakt impressum datenschutz startseite über uns hilfe preise accueil équipe aide tarifs mentions légales us policy of use shop store community partners customers company resources download get started subscribe newsletter follow share back top next previous skip main"
-)
-ERROR, SCRIPT, FILL, LATIN, NAV = (set(x.split()) for x in (_ERROR, _SCRIPT, _FILL, _LATIN, _NAV))
+# --- units by their form
 
-TELLS_ERROR = re.compile(
-    r"(?i)\b(?:page|link|resource|site|address|content)\b.{0,60}\b(?:not found|could not be (?:located|found)|moved|deleted|gone|no longer|nowhere|broken|does not exist)|\bnot found\b|\bnot (?:find|locate) (?:the|that|this|what|your)\b|\b(?:internal )?server (?:error|met|took|could)|\berrors?\b|forbidden|access denied|denied|permission|"
-    r"unavailable|gateway|time(?:d )?[ -]?out|too many requests|request rate|something went wrong|exception|traceback|upstream|backend|scheduled work|under maintenance|maintenance mode|automated traffic|you are (?:a person|human|not a robot)|sign in first|session expired|certificate problem|connection (?:failed|refused|reset|lost)|could not (?:open|connect|load)|not authorized|unauthorized|blocked|"
-    r"\w+error:|warning: \w+\(|wartungsarbeiten|serverfehler|zugriff verweigert|seite existiert nicht|angeforderte seite|konnte .{0,30}nicht verarbeiten|nicht gefunden|página solicitada|no encontrad[ao]|servidor no pudo|acceso denegado|\bmantenimiento|page demandée|introuvable|serveur n.a pas|accès refusé|\ben maintenance|\berreur|reset reason|\bat capacity|out of capacity|hit a snag|(?:site|page|service) (?:is |cannot be )?(?:temporarily )?(?:offline|opened|down)"
-)
-TELLS_SCRIPT = re.compile(r"(?i)\b(?:java\s?script|js|scripts?|scripting|skripte)\b")
-TELLS_FILL = re.compile(
-    r"(?i)\b(?:your|own) (?:\w+ )?(?:text|story|content|title|headline)\b|\bgoes here\b|placeholder|dummy|sample (?:text|description|content|entry)|text sample|replace this|change this text|\bhere you can write|this space\b|click (?:to )?edit|add a (?:short|brief)|describe your|text text|test test|feature (?:one|two|three)|item title|lorem ipsum|beispieltext|platzhalter|texto aquí|aquí su texto|texte ici|votre texte|(?:insert|enter|type|write) (?:your|a|some) |hello world|coming soon|untitled"
-)
-TELLS_FILL_IN = re.compile(
-    r"(?i)\b(?:your|own) (?:\w+ )?(?:text|story|content|title|headline)\b|\bgoes here\b|replace this|change this text|\bhere you can write|\buse this space\b|click (?:to )?edit|add a (?:short|brief)|describe your|hier .{0,20}einfügen|aquí su texto|texte ici|(?:insert|enter|type|write) (?:your|a|some) "
-)
 _REF = re.compile(r"(?i)^(?:request id|ref(?:erence)?|id|incident|trace|code|error code|ray id)?[ :#.\-]*[0-9a-f#\-]{3,}\.?$")
-_FOOT = re.compile(r"(?i)^(?:©|\(c\)|copyright)[\s#\d\-–.]*[\w .,&\-]{0,40}$|^all rights reserved\.?$")
+_FOOT = re.compile(r"(?i)^(?:©|\(c\)|copyright)[\s#\d\-–.]*[\w .,&\-]{0,40}$")
 _STACK = re.compile(r'^(?:at [\w.$<>]+ \(|File "[^"]+", line)')
 _JSON = re.compile(r'^\{\s*"(?:error|errors|message|status|code|detail)"\s*:')
+_BAR = re.compile(r"\s+[|·»>•/–-]\s+")
 WORD = re.compile(r"[^\W\d_]+")
-#: A headline of a notice: a code or an apology, then a few words.
-_HEAD = re.compile(r"(?i)^(?:sorry|oops|whoops|uh oh|\(?#\)?|(?:http|error|status|err|code)[ :\-]*#)[\s!,.:|\-–]*(?:\w+[ '’]?){0,6}[.!]?$")
-#: Any unit that tells of a notice has one of these words.
-TELLING = set(
-    "found find locate located moved deleted gone longer nowhere broken exist error errors forbidden denied permission unavailable gateway timeout timed time requests request wrong exception traceback upstream backend scheduled maintenance traffic person human robot sign session certificate connection authorized unauthorized blocked "
-    "server keyerror typeerror valueerror warning snag capacity offline opened down reset wartungsarbeiten serverfehler zugriff seite anfrage gefunden página servidor encontrada encontrado acceso mantenimiento page introuvable serveur accès erreur took could "
-    "javascript java js script scripts scripting skripte your own goes placeholder dummy sample replace change write space click add describe text test feature item lorem ipsum beispieltext platzhalter einfügen texto texte insert enter type hello coming untitled".split()
-)
-_SPLIT = re.compile(r"[\W\d_]+")
 _SPECIAL = re.compile(r"[{<\[|@~«(]|__|##|XX|%[A-Za-z_(]|\$[A-Za-z_]")
 _VALUE = re.compile(r"null|NULL|undefined|NaN|None|nil|N/A|#REF|#VALUE|#NAME|#DIV")
 
@@ -170,7 +119,7 @@ def slots(unit: str) -> bool:
             hit = bool(re.fullmatch(r"[A-Za-z_][\w. ]*", inside)) and words[0] not in HTML and (low.replace(" ", "_") in FIELDS or "_" in inside or inside.isupper())
         else:
             titled = re.fullmatch(r"[A-ZÀ-Þ][\w.\-]*(?: [A-ZÀ-Þ0-9][\w.\-]*){0,3}", inside) is not None
-            hit = (titled and not set(words) <= NAV) or low.replace(" ", "_") in FIELDS or re.fullmatch(r"[a-z]+(?:[._][a-z]+)+", inside) is not None
+            hit = (titled and not set(words) <= LINKS) or low.replace(" ", "_") in FIELDS or re.fullmatch(r"[a-z]+(?:[._][a-z]+)+", inside) is not None
         if hit:
             found.append(m)
     if found and not _speaks_of(unit, found) and not all(_quoted(unit, m) for m in found):
@@ -206,141 +155,141 @@ def _quoted(unit: str, m: re.Match) -> bool:
     return unit[m.start() - 1 : m.start()] in ("`", '"', "'", "“", "‘") and unit[m.end() : m.end() + 1] in ("`", '"', "'", "”", "’")
 
 
-def _uncovered(unit: str, vocabulary: set[str]) -> tuple[int, int]:
-    """(content words outside the vocabulary, but for a leading name; content words)."""
-    words = WORD.findall(unit)
-    content = [w for w in words if w.lower() not in STOP and len(w) > 1]
-    out = [w.lower() not in vocabulary for w in content]
-    lead = 0
-    while lead < min(3, len(content)) and out[lead] and content[lead][:1].isupper():
-        lead += 1
-    if lead == len(content):
-        lead = 0
-    return sum(out[lead:]), len(content) - lead
-
-
-def _made_of(unit: str, vocabulary: set[str]) -> bool:
-    out, n = _uncovered(unit, vocabulary)
-    return n > 0 and out <= max(0, n // 6)
-
-
-def verdict(unit: str) -> str:
-    """slot, notice, weak, around, short or text."""
-    unit = unit.strip(" \t*#>-–|·•=_~`") if not SLOT.search(unit) and not BRACKET.fullmatch(unit.strip()) else unit.strip()
-    low = unit.lower()
-    words = [w.lower() for w in WORD.findall(unit)]
-    telling = not TELLING.isdisjoint(words) or "error" in low
-    if _JSON.match(unit):
-        return "notice"
-    if slots(unit) and not (TELLS_ERROR.search(unit) and _made_of(unit, ERROR)):
-        return "slot"
-    if not words or _REF.match(unit) or _FOOT.match(unit) or _STACK.match(unit):
-        return "around"
-    latin = sum(w in LATIN for w in words)
-    if latin >= 2 and latin >= 0.7 * len(words) and (latin >= 4 or "ipsum" in words or "lorem" in words or len(words) <= 4):
-        return "notice"
-    if telling and TELLS_FILL.search(unit) and _made_of(unit, FILL | ({"not", "do"})):
-        return "slot" if TELLS_FILL_IN.search(unit) else "notice"
-    if telling and TELLS_SCRIPT.search(unit) and _made_of(unit, SCRIPT):
-        return "notice"
-    if telling and TELLS_ERROR.search(unit) and _made_of(unit, ERROR | SCRIPT):
-        return "notice"
-    if _HEAD.match(unit):
-        return "weak"
-    if set(words) <= NAV | STOP or all(w in NAV for w in re.split(r"[\s·|/,>»•\-]+", low) if w):
-        return "around"
-    if 2 <= len(words) <= 16 and _made_of(unit, ERROR) and not _uncovered(unit, ERROR)[0]:
-        return "notice" if len(words) >= 4 and re.search(r"\w\s[-–—]\s\w", unit) else "weak"
-    if len(words) <= 4 and not re.search(r"[.!?:;,]$", unit) and all(w[:1].isupper() or w.lower() in STOP for w in WORD.findall(unit)):
-        return "around"
-    return "short" if len(words) <= 6 else "text"
-
-
-def signature(unit: str) -> tuple:
-    """The unit's own verdict and its kinds of marks: units with different ones never share a template, so a template has one verdict."""
-    return (verdict(unit), *_marks(unit))
-
-
-def _marks(unit: str) -> tuple:
-    low = unit.lower()
-    if TELLING.isdisjoint(_SPLIT.split(low)) and "error" not in low:
-        return (slots(unit), False, False, False, unit[-1:] in ".!?")
-    return (slots(unit), bool(TELLS_SCRIPT.search(unit)), bool(TELLS_ERROR.search(unit)), bool(TELLS_FILL.search(unit)), unit[-1:] in ".!?")
-
-
-class TemplateTree:
-    """A prefix tree of fixed depth over token count, first tokens and kinds of marks; its leaves hold templates."""
-
-    def __init__(self, depth: int = 2, similarity: float = 0.7):
-        self.depth, self.similarity = depth, similarity
-        self.leaves: dict[tuple, list[list[str]]] = {}
-
-    def add(self, unit: str) -> tuple[tuple, int]:
-        """The (leaf, template number) of a unit."""
-        tokens = (SLOT.sub("<slot>", unit) if _SPECIAL.search(unit) else unit).split()
-        head = tuple("<*>" if any(c.isdigit() or c == "#" for c in t) else t for t in tokens[: self.depth])
-        leaf = (len(tokens), head, signature(unit))
-        templates = self.leaves.setdefault(leaf, [])
-        best, score = -1, 0
-        for k, t in enumerate(templates):
-            same = sum(map(eq, t, tokens))
-            if same > score:
-                best, score = k, same
-        if best >= 0 and score >= self.similarity * len(tokens):
-            templates[best] = [a if a == b else "<*>" for a, b in zip(templates[best], tokens, strict=True)]
-            return leaf, best
-        templates.append(tokens)
-        return leaf, len(templates) - 1
-
-
-def _mine(group: pd.DataFrame) -> pd.DataFrame:
-    tree = TemplateTree()
-    group = group.sort_values("unit")
-    places = [tree.add(u) for u in group["unit"]]
-    group["template"] = [" ".join(tree.leaves[p[0]][p[1]]) for p in places]
-    group["verdict"] = [leaf[2][0] for leaf, _ in places]
-    return group[["h1", "h2", "n", "template", "verdict"]]
-
-
-def _units(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    masked: Column = F.regexp_replace(F.trim(F.col("u")), r"\d+", "#")
-    out = docs.where(docs[text].isNotNull()).select(docs[doc_id].alias("doc_id"), F.explode(F.split(docs[text], UNIT_BREAK)).alias("u"))
-    return out.select("doc_id", masked.alias("unit")).where("unit <> ''").withColumn("h1", F.xxhash64("unit")).withColumn("h2", F.xxhash64(F.lit(5), "unit"))
-
-
-def mine_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", leaf_rows: int = 20_000) -> DataFrame:
-    """h1, h2 (keys of distinct masked units), n, template, verdict."""
-    distinct = _units(docs, doc_id, text).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.first("unit").alias("unit"))
-    first = F.regexp_replace(F.element_at(F.split("unit", r"\s+", 2), 1), ".*#.*", "<*>")
-    distinct = materialize(distinct.withColumn("leaf", F.xxhash64(first, F.size(F.split("unit", r"\s+")))), "units")
-    rows = distinct.count()
-    hot = hot_keys(distinct, ["leaf"], leaf_rows) if rows > leaf_rows else []
-    cuts = distinct.sparkSession.createDataFrame([(r["leaf"], -(-r["_n"] // leaf_rows)) for r in hot], "leaf long, cut int")
-    assert len(hot) <= MAX_HOT_KEYS  # the proven bound of the broadcast
-    salted = distinct.join(F.broadcast(cuts), "leaf", "left").withColumn("salt", F.pmod("h1", F.coalesce("cut", F.lit(1)).cast("long")))
-    buckets = max(1, rows // leaf_rows)
-    spread = salted.withColumn("bucket", F.pmod(F.xxhash64("leaf", "salt"), F.lit(buckets)))
-    out = spread.select("bucket", "h1", "h2", "n", "unit").groupBy("bucket").applyInPandas(_mine, "h1 long, h2 long, n long, template string, verdict string")
-    out = materialize(out, "templates")
-    release(distinct)
+def unit_kind(unit: str, model: NoticeModel) -> tuple[str, float]:
+    """(kind, probability of a notice) of a unit with masked numbers: slot, around, short or text, or ``doubt`` from ``DOUBT`` on, for its template to decide."""
+    unit = unit.strip(" \t*#>-–|·•=_~`") or unit
+    low = model.words(unit)
+    if unit[:1] in '{aF' and (_JSON.match(unit) or _STACK.match(unit)):
+        return "doubt", 1.0
+    if len(low) < 9 and (not WORD.search(unit) or _REF.match(unit) or _FOOT.match(unit)):
+        return "around", 0.0
+    shape = model.shape(low)
+    notice = model.score(low, "notice", shape)
+    if notice >= DOUBT and model.score(low, "fill", shape) >= FILL:
+        return "slot", notice
+    if len(low) < 9 and (around := model.score(low, "around", shape)) >= AROUND and around >= notice:
+        return "around", notice
+    if len(unit) < 200 and notice < DOUBT and (parts := _BAR.split(unit))[1:] and all(len(x.split()) <= 3 for x in parts):
+        return "around", notice
+    if notice >= DOUBT:
+        return "doubt", notice
+    words = WORD.findall(unit) if len(low) <= 8 else low
+    if len(words) <= 4 and unit[-1:] not in ".!?:;," and all(w[:1].isupper() or len(w) <= 3 for w in words):
+        return "around", notice
+    return ("short" if len(words) <= 6 else "text"), notice
+
+
+_DIGITS = re.compile(r"\d+")
+
+
+def cut_units(text: str) -> list[str]:
+    """The units of a text with masked numbers and single blanks."""
+    return [x for u in UNIT_BREAK.split(text) if (x := " ".join(_DIGITS.sub("#", u).split()))]
+
+
+def scan_text(text: str, model: NoticeModel, known: dict[str, tuple[str, float]]) -> tuple[int, int, int, list[tuple[str, float]]]:
+    """(slots, shorts, texts, units in doubt with their probabilities) of one text."""
+    marked = _SPECIAL.search(text) is not None or _VALUE.search(text) is not None
+    slots_, shorts, texts, doubt = 0, 0, 0, []
+    for u in cut_units(text):
+        got = known.get(u)
+        if got is None:
+            kind, p = unit_kind(u, model)
+            got = ("slot" if marked and slots(u) else kind, p)
+            if len(known) < 200_000:
+                known[u] = got
+        kind, p = got
+        slots_ += kind == "slot"
+        shorts += kind == "short"
+        texts += kind == "text"
+        if kind == "doubt":
+            doubt.append((u, p))
+    return slots_, shorts, texts, doubt
+
+
+SCANNED = "doc_id long, row long, slots int, shorts int, texts int, doubt array<struct<unit: string, p: double>>"
+
+
+def corpus_model(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = 600, sample_units: int = 10, rules: dict[str, list[str]] | None = None) -> NoticeModel:
+    """The classifier: the labelled rules, and at most ``sample_units`` units of each of ``sample_docs`` documents as ordinary text (both by a hash)."""
+    rows = docs.where(docs[text].isNotNull() & docs[doc_id].isNotNull())
+    ids = rows.select(docs[doc_id].alias("i")).distinct().orderBy(F.xxhash64(F.lit(3), "i"), "i").limit(sample_docs)  # a bounded sample
+
+    def some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"units": [sorted(sorted({u[:400] for u in cut_units(t)}, key=lambda u: (hash_of(u), u))[:sample_units]) for t in b["text"]]})
+
+    taken = rows.select(docs[doc_id].alias("i"), docs[text].alias("text")).join(F.broadcast(ids), "i", "left_semi").select("text")
+    units = taken.mapInPandas(some, "units array<string>").distinct().limit(2 * sample_docs).collect()
+    return fit(sorted(list(r["units"]) for r in units), rules)
+
+
+def hash_of(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+
+
+def _scan(docs: DataFrame, doc_id: str, text: str, model: NoticeModel) -> DataFrame:
+    """Documents with a slot or a unit in doubt, one row each."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the labelled sample
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, tuple[str, float]] = {}
+        for b in batches:
+            out = []
+            for i, row, t in zip(b["doc_id"].tolist(), b["row"].tolist(), b["text"], strict=True):
+                slots_, shorts, texts, doubt = scan_text(t, shared.value, known)
+                if slots_ or doubt:
+                    out.append((i, row, slots_, shorts, texts, [{"unit": u, "p": p} for u, p in doubt]))
+            yield pd.DataFrame(out, columns=["doc_id", "row", "slots", "shorts", "texts", "doubt"])
+
+    rows = docs.where(docs[text].isNotNull() & docs[doc_id].isNotNull()).select(docs[doc_id].cast("long").alias("doc_id"), F.xxhash64(docs[text]).alias("row"), docs[text].alias("text"))
+    return materialize(rows.mapInPandas(run, SCANNED).dropDuplicates(["doc_id", "row"]), "scanned")
+
+
+def mine(units: DataFrame, share: float = 0.1) -> DataFrame:
+    """unit, template of distinct units (unit), by the prefix tree: number of tokens, first two tokens, then the tokens that are constant at their place in the leaf."""
+    tok = units.select("unit", F.split("unit", " ").alias("t")).withColumn("leaf", F.xxhash64(F.size("t"), F.slice("t", 1, 2)))
+    size = tok.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    place = tok.where(F.size("t") > 2).select("unit", "leaf", F.posexplode("t").alias("pos", "tok"))
+    often = place.groupBy("leaf", "pos", "tok").agg(F.count(F.lit(1)).alias("k"))
+    rare = salted_join(often, size, ["leaf"], "inner").where((F.col("k") < share * F.col("n")) & (F.col("pos") > 1)).select("leaf", "pos", "tok")
+    wild = salted_join(place, rare, ["leaf", "pos", "tok"], "left_semi").groupBy("unit").agg(F.collect_set("pos").alias("w"))
+    word = lambda x, i: F.when(F.array_contains("w", i), "<*>").otherwise(x)
+    return tok.join(wild, "unit", "left").select("unit", F.when(F.col("w").isNull(), F.col("unit")).otherwise(F.array_join(F.transform("t", word), " ")).alias("template"))
+
+
+def mine_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: NoticeModel | None = None, scanned: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(templates: template, units, docs, alone, p, verdict; units: unit, p, template, verdict), written. ``alone``: documents without any text beside the message."""
+    scanned = _scan(docs, doc_id, text, model or corpus_model(docs, doc_id, text)) if scanned is None else scanned
+    each = scanned.select("doc_id", "texts", F.explode("doubt").alias("d")).select("doc_id", "texts", "d.unit", "d.p")
+    units = materialize(each.groupBy("unit").agg(F.max("p").alias("p"), F.count_distinct("doc_id").alias("docs"), F.count_distinct(F.when(F.col("texts") == 0, F.col("doc_id"))).alias("alone")), "units")
+    told = units.join(mine(units), "unit")
+    told = materialize(told, "mined")
+    per = told.groupBy("template").agg(F.count(F.lit(1)).alias("units"), F.sum("docs").alias("docs"), F.sum("alone").alias("alone"), (F.sum(F.col("p") * F.col("docs")) / F.sum("docs")).alias("p"))
+    likely = F.when(F.col("docs") >= SUPPORT, F.col("alone") >= ALONE * F.col("docs")).otherwise(F.col("p") >= LIKELY)
+    verdict = F.when((F.col("p") >= SURE) | likely, "notice").otherwise("text")
+    templates = materialize(per.withColumn("verdict", verdict), "templates")
+    back = salted_join(told.select("unit", "p", "template"), templates.select("template", "verdict"), ["template"], "inner")
+    back = materialize(back.withColumn("verdict", F.when(F.col("p") >= SURE, "notice").otherwise(F.col("verdict"))), "told")
+    release(units, told)
+    return templates, back
+
+
+def residue_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: NoticeModel | None = None, broadcast_units: int = 200_000) -> DataFrame:
+    """doc_id, slots, notices, shorts, texts: unit counts of every row with a slot or a unit that may be a notice; see ``is_residue``."""
+    scanned = _scan(docs, doc_id, text, model or corpus_model(docs, doc_id, text))
+    templates, units = mine_templates(docs, doc_id, text, scanned=scanned)
+    each = scanned.select("doc_id", "row", F.explode("doubt.unit").alias("unit"))
+    notices = units.where("verdict = 'notice'").select("unit", F.lit(1).alias("hit"))
+    joined = each.join(F.broadcast(notices), "unit", "left") if rows_of(units) <= broadcast_units else salted_join(each, notices, ["unit"], "left")
+    told = joined.groupBy("doc_id", "row").agg(F.count("hit").alias("notices"), F.count_if(F.col("hit").isNull()).alias("cleared"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    out = scanned.join(told, ["doc_id", "row"], "left").select("doc_id", "slots", zero(F.col("notices")).alias("notices"), "shorts", (F.col("texts") + zero(F.col("cleared"))).alias("texts"))
+    out = materialize(out, "residue")
+    release(scanned, templates, units)
     return out
 
 
-def residue_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", broadcast_units: int = 200_000) -> DataFrame:
-    """doc_id, slots, notices, weak, shorts, texts: unit counts of every document with any unit; see ``is_residue``."""
-    templates = mine_templates(docs, doc_id, text)
-    told = templates.where("verdict <> 'text'").select("h1", "h2", "verdict")
-    n = told.count()
-    units = _units(docs, doc_id, text).select("doc_id", "h1", "h2")
-    joined = units.join(F.broadcast(told), ["h1", "h2"], "left") if n <= broadcast_units else salted_join(units, told, ["h1", "h2"], "left")
-    count = lambda v: F.count(F.when(v, 1))
-    return joined.groupBy("doc_id").agg(
-        count(F.col("verdict") == "slot").alias("slots"), count(F.col("verdict") == "notice").alias("notices"), count(F.col("verdict") == "weak").alias("weak"),
-        count(F.col("verdict") == "short").alias("shorts"), count(F.col("verdict").isNull()).alias("texts"),
-    )
-
-
 def is_residue() -> Column:
     few = F.col("shorts") <= F.when(F.col("notices") >= 2, 1).otherwise(0)
-    said = (F.col("notices") > 0) | (F.col("weak") >= 2)
-    return (F.col("slots") > 0) | (said & (F.col("texts") == 0) & few)
+    return (F.col("slots") > 0) | ((F.col("notices") > 0) & (F.col("texts") == 0) & few)
