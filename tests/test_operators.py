@@ -171,7 +171,7 @@ def three(spark):
 @pytest.mark.parametrize(
     "spec,want",
     [
-        (FilterSpec(), "abc"), (FilterSpec(batches=["Winter 2012"]), "a"), (FilterSpec(year_from=2012, year_to=2020), "ab"), (FilterSpec(industries=["Health"], subindustries=["B2B -> X"]), "ab"), (FilterSpec(stages=["Growth"]), "a"), (FilterSpec(statuses=["Active"]), "a"),
+        (FilterSpec(), "abc"), (FilterSpec(batches=["Winter 2012"]), "a"), (FilterSpec(year_from=2012, year_to=2020), "ab"), (FilterSpec(industries=["Health"], subindustries=["B2B -> X"]), "ab"), (FilterSpec(industries=["B2B -> X"]), "a"), (FilterSpec(stages=["Growth"]), "a"), (FilterSpec(statuses=["Active"]), "a"),
         (FilterSpec(regions=["Remote"]), "a"), (FilterSpec(tags=["t1", "t2"]), "a"), (FilterSpec(tags=["t1", "t2"], tag_mode="or"), "ab"), (FilterSpec(tags=["t2"], min_score=0.5), "b"), (FilterSpec(min_score=0.1), "ab"), (FilterSpec(nonprofit=True), "c"),
         (FilterSpec(clusters=["1"]), "bc"), (FilterSpec(ids=["a", "c"]), "ac"), (FilterSpec(facets=["f"]), "a"),
     ],
@@ -204,11 +204,19 @@ def search_index(spark):
 
 def test_search(spark):
     ix = search_index(spark)
-    ids = lambda q, **k: [r["doc"] for r in R.search(ix, q, "i", **k).collect()]
+    ids = lambda q, **k: [r["doc"] for r in R.search(ix, q, **k).collect()]
     assert ids("acme")[:2] == ["1", "2"]
     assert ids('"machine learning"') == ["3"]
     assert set(ids("machine learning")) == {"3", "4"}
     assert ids("hammars") == ["2"] and ids("rocket")[0] == "1" and ids("zzz") == [] and ids("") == []
+    assert ids("hammars", fuzzy=False) == [] and ids("rocket", prefix=False, fuzzy=False) == [] and ids("acme", limit=1) == ["1"]
+    few = spark.createDataFrame([("2",), ("3",), ("4",)], "company_id string")
+    got = R.search_within(ix, "acme", few, "company_id").orderBy("place").collect()
+    assert [(r["company_id"], r["place"]) for r in got] == [("2", 0), ("3", 1)] and R.search_within(ix, "acme", few, "company_id", limit=1).count() == 1 and R.search_within(ix, " ", few, "company_id").count() == 3
+    assert R.search(ix, "acme").where("doc = '3'").select(R.explain_match().alias("why"), "terms").first() == (["one-liner"], ["acme"])
+    plan = ix.postings.where("term = 'acme'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(term,acme)" in plan
+    ix.drop()
 
 
 def test_snippets(spark):

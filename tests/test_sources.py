@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def test_matrix_round_trip(spark, tmp_path):
 
 
 def test_shards_are_pruned_and_empty_ones_exist(spark, tmp_path):
-    recs = B.detail_records(spark.createDataFrame([("ycoss:1080", "N")], "company_id string, name string"), spark.createDataFrame([], "company_id string, tag_id string, feature_value double"))
+    recs = spark.createDataFrame([("ycoss:1080", 44, '{"name": "N"}')], "company_id string, shard int, record string")
     files.write_details(recs, str(tmp_path / "d"))
     assert len(list((tmp_path / "d").glob("shard=*"))) == 64
     hit = files.lookup_detail(spark, str(tmp_path / "d"), "ycoss:1080")
@@ -60,11 +61,48 @@ def test_shards_are_pruned_and_empty_ones_exist(spark, tmp_path):
     assert files.lookup_detail(spark, str(tmp_path / "d"), "ycoss:1").count() == 0
 
 
-def test_directory_source(spark, tmp_path):
-    (tmp_path / "all.json").write_text('[{"id":1,"name":"A"},{"id":2},"x",{"id":3,"name":"C","more":[1]}]')
+def test_landed_directory(spark, tmp_path):
+    (tmp_path / "all.json").write_text('[{"name":"A", "id":1},{"id":2},"x",{"id":3,"name":"C","more":[1],"tags":["t","t"]},{"id":4,"name":" "}]')
+    good, bad = directory.read_landed(spark, str(tmp_path / "all.json"), prefix="p", last_updated="2026-01-01")
+    assert rows(good.select("company_id", "payload")) == [("p:1", '{"id":1,"name":"A"}'), ("p:3", '{"id":3,"more":[1],"name":"C","tags":["t","t"]}')] and good.columns == schemas.schema_of("companies_raw").names
+    assert rows(bad.select("error")) == [("no id",), ("no name",), ("not an object",)]
+    assert sum(x.count() for x in directory.read_landed(spark, str(tmp_path / "all.json"), limit=2)) == 2
+    assert rows(directory.fixture_terms(good).select("kind", "slug", "company_count")) == [("tag", "t", 2)]
+    (tmp_path / "l.jsonl").write_text('{"id":1,"name":"A"}\n\nnonsense\n')
+    assert [x.count() for x in directory.read_landed(spark, str(tmp_path / "l.jsonl"), lines=True)] == [1, 1]
+
+
+def test_adapters(spark):
+    class Two:
+        name = "two"
+
+        def resources(self, options):
+            return options["path"].split()
+
+        def records(self, resource):
+            yield {"id": resource, "name": "N"}
+            yield 5
+
+    directory.ADAPTERS["two"] = Two()
     directory.register(spark)
-    got = spark.read.format("directory").option("path", str(tmp_path)).option("prefix", "p").load()
-    assert rows(got.select("company_id")) == [("p:1",), ("p:3",)] and got.columns == schemas.schema_of("companies_raw").names
+    got = spark.read.format("directory").option("path", "a b").option("adapter", "two").load()
+    good, bad = directory.raw_rows(got, "two", "p")
+    assert rows(good.select("company_id", "source_url")) == [("p:a", "a"), ("p:b", "b")] and rows(bad.select("error")) == [("not an object",)] * 2
+
+
+def test_crawler(spark):
+    from weftline.sources.website import Answer, crawl
+
+    site = {
+        "https://a.example/robots.txt": Answer(200, "text/plain", b"User-agent: *\nDisallow: /company"), "https://a.example/": Answer(200, "text/html", b"<title>A</title><main>Hello there</main>"), "https://a.example/about": Answer(302, location="https://www.a.example/us"), "https://www.a.example/us": Answer(200, "text/html", b"<p>About us text</p>"),
+        "https://b.example/robots.txt": Answer(404), "https://b.example/": Answer(301, location="http://10.0.0.1/"), "https://b.example/about": Answer(200, "image/png", b"x"), "https://b.example/company": Answer(200, "text/html", b"y" * 50),
+    }
+    ips = {"a.example": ["8.8.8.8"], "www.a.example": ["8.8.8.8"], "b.example": ["8.8.4.4"], "in.example": ["10.1.1.1"]}
+    df = spark.createDataFrame([("1", "https://a.example/x"), ("2", "https://b.example"), ("3", "ftp://c.example"), ("4", "https://in.example"), ("5", None)], "company_id string, website string")
+    out = crawl(df, "bot", get=lambda u, agent, most: site[u], resolver=lambda h: ips.get(h, []), pause=0, most_bytes=40).collect()
+    got = {(r["company_id"], r["url"].rsplit("/", 1)[-1]): (r["ok"], r["error"], r["text"]) for r in out}
+    assert got["1", ""] == (True, None, "Hello there") and got["1", "about"][2] == "About us text" and got["1", "company"][1] == "disallowed by robots"
+    assert got["2", ""][1] == "redirect to another site" and got["2", "about"][1] == "content type" and got["2", "company"][1] == "too large" and got["3", "c.example"][1] == "scheme" and got["4", ""][1] == "not public"
 
 
 def test_models_are_cached_and_repaired(spark):
@@ -122,7 +160,40 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["queries"]) == 0 and "sparse_features" in capsys.readouterr().out
     assert cli.main(["run", "--data", str(SF), "--out", str(tmp_path)]) == 0
     assert cli.main(["run", "--data", str(SF), "--out", str(tmp_path)]) == 0
-    assert capsys.readouterr().out.count("is fresh") == 3
+    assert capsys.readouterr().out.count("is fresh") == 8
+    runs = spark.read.parquet(f"{tmp_path}/runs.parquet")
+    assert runs.count() == 8 and runs.where("status = 'done'").count() == 8
+    assert cli.main(["search", "--out", str(tmp_path), "--name", "tenant"]) == 0 and cli.main(["migrate-ontology", "--out", str(tmp_path)]) == 0
+    assert cli.main(["validate", "--out", str(tmp_path)]) == 0 and cli.main(["doctor"]) == 0
+
+
+def test_tampering_fails_the_gates(spark, tmp_path, monkeypatch):
+    from weftline.operators import release
+    from weftline.plans import publishing
+
+    root, counts = publishing._release(spark, str(SF))
+    failed = lambda: {r["gate"] for r in release.published_gates(spark, root).where("NOT passed").collect()}
+    folder = Path(release.current_release(spark, root).removeprefix("file:").replace("///", "/"))
+    assert failed() == set() and counts["companies"] == counts["points"]
+
+    def change(name, old, new):
+        path = next(p for p in sorted((folder / name).glob("part-*")) if old in p.read_text())
+        text = path.read_text()
+        (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
+        path.write_text(text.replace(old, new, 1))
+        return lambda: ((path.parent / f".{path.name}.crc").unlink(missing_ok=True), path.write_text(text))
+
+    for name, old, new, gates in [("points", '"x":', '"gone":', {"points_finite"}), ("companies", '"i":"', '"i":"z', {"points_are_companies", "details_in_their_shards", "search_covers_companies", "neighbors_published"}), ("search", '"i":"', '"i":"z', {"search_covers_companies"}), ("companies", '"T":["', '"T":["none","', {"tags_published", "scores_parallel"})]:
+        back = change(name, old, new)
+        spark.catalog.clearCache()
+        assert failed() == gates | {"files_match_checksums"}, name
+        back()
+    assert failed() == set()
+    manifest = files.read_document(spark, f"file://{folder}/manifest.json")
+    files.write_document(spark, f"file://{folder}/manifest.json", {k: v for k, v in manifest.items() if k != "source_url"})
+    assert failed() == {"provenance"}
+    files.write_document(spark, f"file://{folder.parent}/index.json", {"current": "none"})
+    assert len(failed()) == 10
 
 
 def test_the_stream_gives_what_the_batch_gives(spark):

@@ -8,25 +8,27 @@ import sys
 
 from pyspark.sql import functions as F
 
+from weftline import stages
 from weftline.config import load_config
-from weftline.operators import judging, normalize, ontology
-from weftline.operators.quality import quality_report
-from weftline.pipeline import Store, run_stage
+from weftline.operators import ontology, release, search
+from weftline.pipeline import Store
 from weftline.plans import catalog
-from weftline.plans.judging import KEEP, ORDER
 from weftline.runtime import session
-from weftline.sources.files import export_bundle
+from weftline.sources.models import resolve_model
 from weftline.sources.schemas import export_schemas
 from weftline.sources.tables import table
 
+COMMANDS = ["doctor", "queries", "query", *stages.STAGES, "migrate-ontology", "validate", "stats", "schemas", "search", "run"]
+
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="weftline", description=__doc__)
-    p.add_argument("command", choices=["doctor", "queries", "query", "fetch", "assign-features", "publish-data", "validate", "stats", "schemas", "run"])
+    p.add_argument("command", choices=COMMANDS)
     p.add_argument("--data", help="folder of the source tables")
     p.add_argument("--out", help="warehouse folder")
-    p.add_argument("--name", help="query to run")
-    p.add_argument("--limit", type=int, default=20)
+    p.add_argument("--name", help="query to run, or words to search for")
+    p.add_argument("--profile", help="settings profile")
+    p.add_argument("--limit", type=int, default=20, help="rows to show")
     p.add_argument("--force", action="store_true")
     a = p.parse_args(argv)
     if a.command == "queries":
@@ -36,8 +38,10 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "schemas":
         print(json.dumps({k: json.loads(v) for k, v in export_schemas().items()}, indent=1, sort_keys=True))
         return 0
+    r = stages.Run(spark, a.data, a.out, load_config({"profile": a.profile}), stages.default_backend())
     if a.command == "doctor":
-        print(json.dumps({"spark": spark.version, "master": spark.sparkContext.master, "parallelism": spark.sparkContext.defaultParallelism}))
+        model = resolve_model(r.backend, r.backend.name)
+        print(json.dumps({"spark": spark.version, "master": spark.sparkContext.master, "parallelism": spark.sparkContext.defaultParallelism, "model": model, "profile": r.config.profile}))
         return 0
     if a.command == "query":
         catalog.QUERIES[a.name](spark, a.data).show(a.limit, truncate=False)
@@ -45,38 +49,20 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "stats":
         ontology.registry_stats(table(spark, a.data, "tags")).show()
         return 0
-    if a.command == "validate":
-        gates = catalog.QUERIES["release_gates"](spark, a.data)
-        gates.show(truncate=False)
+    if a.command == "search":
+        search.search(stages.search_index(r), a.name, a.limit).select("doc", "score", F.array_join(search.explain_match(), ", ").alias("why")).show(a.limit, truncate=False)
+        return 0
+    if a.command == "migrate-ontology":
+        print(a.command, json.dumps(stages.migrate(r)))
+        return 0
+    if a.command != "validate":
+        for name in stages.STAGES if a.command == "run" else [a.command]:
+            ran = stages.run(r, name, a.force)
+            print(name, json.dumps(Store(spark, a.out).manifest[name]["counts"]) if ran else "is fresh")
+    if a.command in ("validate", "run"):
+        gates = release.published_gates(spark, f"{a.out}/public") if a.out else catalog.QUERIES["release_gates"](spark, a.data)
+        gates.show(100, truncate=False)
         return int(gates.where(~F.col("passed")).limit(1).count() > 0)
-    store = Store(spark, a.out)
-    config = load_config()
-    settings = {"data": a.data, "config": config.fingerprint()}
-
-    def fetch() -> dict[str, int]:
-        good, bad = normalize.parse_payloads(table(spark, a.data, "companies_raw"))
-        return export_bundle({"companies": normalize.normalize_companies(good), "rejected": bad}, a.out, csv=False)
-
-    def features() -> dict[str, int]:
-        last = judging.last_wins(table(spark, a.data, "company_tag_judgments"), ["company_id", "tag_id"], ORDER, KEEP)
-        return export_bundle({"judgments": last, "features": judging.sparse_features(last, last.select("company_id").distinct().count(), minimum=config.min_confidence)}, a.out, csv=False)
-
-    def publish() -> dict[str, int]:
-        last, f = (spark.read.parquet(f"{a.out}/{n}.parquet") for n in ("judgments", "features"))
-        n = last.select("company_id").distinct().count()
-        names = ("compact_index", "search_docs", "facet_counts", "cooccurrence")
-        return export_bundle({k: catalog.QUERIES[k](spark, a.data) for k in names} | {"quality": quality_report(n, table(spark, a.data, "tags"), f, last)}, a.out)
-
-    #: Work, inputs in the warehouse, source tables, outputs.
-    stages = {
-        "fetch": (fetch, [], ["companies_raw"], ["companies.parquet"]),
-        "assign-features": (features, [], ["company_tag_judgments"], ["judgments.parquet", "features.parquet"]),
-        "publish-data": (publish, ["judgments.parquet", "features.parquet"], ["companies", "tags"], ["quality.parquet"]),
-    }
-    for name in stages if a.command == "run" else [a.command]:
-        work, inputs, read, outputs = stages[name]
-        ran = run_stage(store, name, settings, inputs, outputs, work, a.force, [(a.data, t) for t in read])
-        print(name, json.dumps(store.manifest[name]["counts"]) if ran else "is fresh")
     return 0
 
 

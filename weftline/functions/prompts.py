@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.text import collapse, tag_document, truncate, wrap_untrusted
+from weftline.functions.text import collapse, tag_document, truncate, unfenced
 
 #: What each stage asks; part of every request's key through ``prompt_hashes``.
 INSTRUCTIONS = {
@@ -29,10 +29,10 @@ def company_text(limit: int = 900) -> Column:
 
 def discovery_prompts(batches: DataFrame) -> DataFrame:
     """batch, prompt: one request per batch (batch, company_id and the columns of ``company_text``); batches are of bounded size."""
-    line = F.concat(F.lit("- "), F.col("company_id"), F.lit(": "), company_text())
+    line = F.concat(F.lit("- "), F.col("company_id"), F.lit(": "), unfenced(company_text(), "records"))  # cut by record, so none is lost
     rows = batches.select("batch", F.struct("company_id", line.alias("line")).alias("r"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["line"]), "\n")
-    return rows.groupBy("batch").agg(body.alias("body")).select("batch", F.concat(F.lit(INSTRUCTIONS["discovery"] + "\n"), wrap_untrusted(F.col("body"), "records", 60_000)).alias("prompt"))
+    return rows.groupBy("batch").agg(body.alias("body")).select("batch", F.concat(F.lit(INSTRUCTIONS["discovery"] + "\n<records>\n"), "body", F.lit("\n</records>")).alias("prompt"))
 
 
 def merge_prompt(a: dict[str, Column], b: dict[str, Column]) -> Column:
@@ -48,6 +48,7 @@ def call_groups(pairs: DataFrame, most: int = 8) -> DataFrame:
 
 
 def assign_prompts(calls: DataFrame, documents: DataFrame) -> DataFrame:
-    """entity, call, prompt: labels of a call (tag_id, text) and the entity's documents (entity, text)."""
+    """entity, call, prompt: labels of a call (tag_id, text) and the entity's documents (entity, text), each of those cut at 8,000 characters."""
+    documents = documents.where("text IS NOT NULL").groupBy("entity").agg(F.array_join(F.array_sort(F.collect_list(F.substring(unfenced(F.col("text"), "documents"), 1, 8_000))), "\n").alias("text"))
     labels = calls.groupBy("entity", "call").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tag_id", "text"))), lambda t: F.concat(F.lit("- "), t["tag_id"], F.lit(": "), t["text"])), "\n").alias("labels"))
-    return labels.join(documents, "entity").select("entity", "call", F.concat(F.lit(INSTRUCTIONS["assign"] + "\n"), "labels", F.lit("\n"), wrap_untrusted(F.col("text"), "documents", 24_000)).alias("prompt"))
+    return labels.join(documents, "entity").select("entity", "call", F.concat(F.lit(INSTRUCTIONS["assign"] + "\n"), "labels", F.lit("\n<documents>\n"), "text", F.lit("\n</documents>")).alias("prompt"))

@@ -129,10 +129,19 @@ def tag_document(name: Column, facet: Column, definition: Column) -> Column:
     return F.concat(name, F.lit(" ("), F.replace(facet, F.lit("_"), F.lit(" ")), F.lit("): "), definition)
 
 
+def unfenced(c: Column, label: str) -> Column:
+    """A text without fence marks, whitespace collapsed."""
+    return collapse(F.regexp_replace(c, rf"(?i)</?\s*{label}[^>]*>", " "))
+
+
 def wrap_untrusted(c: Column, label: str, limit: int) -> Column:
     """Fence a text for a prompt: fence marks inside removed, whitespace collapsed, cut at the limit."""
-    inner = collapse(F.regexp_replace(c, rf"(?i)</?\s*{label}[^>]*>", " "))
-    return F.concat(F.lit(f"<{label}>\n"), F.substring(inner, 1, limit), F.lit(f"\n</{label}>"))
+    return F.concat(F.lit(f"<{label}>\n"), F.substring(unfenced(c, label), 1, limit), F.lit(f"\n</{label}>"))
+
+
+def parse_iso(c: Column) -> Column:
+    """A timestamp of an ISO text, null if it is none."""
+    return c.try_cast("timestamp_ntz")
 
 
 def evidence_source(document_id: Column, labels: dict[str, str]) -> Column:

@@ -30,10 +30,10 @@ def is_zero(v: Column) -> Column:
     return v.isNull() | ~F.exists(v, lambda x: x != 0)
 
 
-def combine(parts: dict[str, Column], weights: dict[str, float] = COMBINED) -> Column:
+def combine(parts: dict[str, Column], weights: dict[str, float] = COMBINED, strict: bool = True) -> Column:
     """Weighted sum of the unit vectors that are there, weights renormalised, result of unit length.
 
-    Null if no part is there (the caller decides whether that is an error).
+    No part at all is an error, or null if not ``strict``.
     """
     there = {k: ~is_zero(v) for k, v in parts.items()}
     scale = F.array(*(F.when(there[k], weights[k] / F.greatest(norm(v), F.lit(1e-12))).otherwise(0.0) for k, v in parts.items()))
@@ -46,7 +46,8 @@ def combine(parts: dict[str, Column], weights: dict[str, float] = COMBINED) -> C
         return F.transform(F.sequence(F.lit(1), dim), at)
 
     some = F.array_max(scale) > 0
-    return F.when(some, let(let(scale, mixed), l2_normalize))
+    nothing = F.raise_error(F.lit("no vector is there to combine")) if strict else F.lit(None)
+    return F.when(some, let(let(scale, mixed), l2_normalize)).otherwise(nothing)
 
 
 def quantize_int8(v: Column, scale: Column) -> Column:

@@ -9,6 +9,8 @@ from urllib.parse import parse_qs, urlencode
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.runtime import row_numbers, salted_join
+
 _LISTS = ("batches", "industries", "subindustries", "statuses", "stages", "regions", "clusters", "tags", "facets", "ids")
 
 
@@ -90,8 +92,9 @@ def predicate(spec: FilterSpec, skip: str | None = None) -> Column:
         add("years", c("batch_year") >= spec.year_from)
     if spec.year_to is not None:
         add("years", c("batch_year") <= spec.year_to)
-    if spec.industries or spec.subindustries:
-        add("industries", F.coalesce(c("industry").isin(*spec.industries) if spec.industries else F.lit(False), F.lit(False)) | F.coalesce(c("subindustry").isin(*spec.subindustries) if spec.subindustries else F.lit(False), F.lit(False)))
+    if spec.industries or spec.subindustries:  # one list: a name counts at either level
+        names = list(dict.fromkeys([*spec.industries, *spec.subindustries]))
+        add("industries", F.coalesce(c("industry").isin(*names), F.lit(False)) | F.coalesce(c("subindustry").isin(*names), F.lit(False)))
     if spec.statuses:
         add("statuses", F.coalesce("status", F.lit("")).isin(*spec.statuses))
     if spec.stages:
@@ -115,11 +118,12 @@ def predicate(spec: FilterSpec, skip: str | None = None) -> Column:
 
 
 def apply_filters(companies: DataFrame, spec: FilterSpec, tags: DataFrame | None = None) -> DataFrame:
-    """Companies that pass. A facet filter looks its tags up in ``tags`` (the ontology, a fixed table)."""
+    """Companies that pass. A facet filter semi-joins their surviving tags with those of the facets in ``tags``."""
     out = companies.where(predicate(spec))
     if spec.facets and tags is not None:
-        of = [r[0] for r in tags.where(F.col("facet").isin(*spec.facets)).select("tag_id").distinct().limit(100_000).collect()]
-        out = out.where(F.size(F.array_intersect(surviving_tags(spec), F.array(*map(F.lit, of)).cast("array<string>"))) > 0)
+        of = tags.where(F.col("facet").isin(*spec.facets)).select("tag_id").distinct()
+        hits = salted_join(out.select("company_id", F.explode(F.array_distinct(surviving_tags(spec))).alias("tag_id")), of, ["tag_id"], "left_semi")
+        out = out.join(hits.select("company_id").distinct(), "company_id", "left_semi")
     return out
 
 
@@ -158,8 +162,38 @@ def pinned_first(tags: DataFrame, selected: list[str], text: str, limit: int = 6
     return tags.where(chosen | F.lower("canonical_name").contains(text.lower())).orderBy(F.desc(chosen), F.desc("support_count"), "tag_id").limit(limit)
 
 
+def select_companies(companies: DataFrame, ids: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+    """Companies of a table of ids, or the first so many by id (the limit is what is asked for)."""
+    out = companies if ids is None else companies.join(ids.select("company_id").distinct(), "company_id", "left_semi")
+    return out if limit is None else out.orderBy("company_id").limit(limit)
+
+
+def point_index(companies: DataFrame, points: DataFrame) -> DataFrame:
+    """Companies with ``position``: their place among the points in the order of ids, -1 without a point."""
+    placed = row_numbers(points.select("company_id").distinct(), ["company_id"], "position")
+    return companies.join(placed, "company_id", "left").withColumn("position", F.coalesce("position", F.lit(-1).cast("long")))
+
+
+def facet_groups(tag_rows: DataFrame) -> DataFrame:
+    """company_id, facet, tags, size, place: a company's tags by facet, the largest groups first, then by facet."""
+    groups = tag_rows.groupBy("company_id", "facet").agg(F.array_sort(F.collect_set("tag_id")).alias("tags")).withColumn("size", F.size("tags").cast("long"))
+    w = Window.partitionBy("company_id").orderBy(F.desc("size"), "facet")
+    return groups.withColumn("place", F.row_number().over(w).cast("long"))
+
+
+def tag_legend(companies: DataFrame, tag: str) -> DataFrame:
+    """kind, bin, n: companies with and without a tag."""
+    has = F.coalesce(F.array_contains("tag_ids", tag), F.lit(False))
+    return companies.groupBy(F.when(has, "has tag").otherwise("no tag").alias("bin")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("tag").alias("kind"), "bin", "n")
+
+
+def cluster_legend(points: DataFrame) -> DataFrame:
+    """kind, bin, n: points of every cluster."""
+    return points.groupBy(F.col("cluster").cast("string").alias("bin")).agg(F.count(F.lit(1)).alias("n")).select(F.lit("cluster").alias("kind"), "bin", "n")
+
+
 def legend_bins(companies: DataFrame, largest: int = 23, year_bins: int = 14) -> DataFrame:
-    """kind, bin, n: industries (the largest, then Other) and equal year bins."""
+    """kind, bin, n: industries (the largest, then Other) and equal year bins; see also ``cluster_legend`` and ``tag_legend``."""
     counts = companies.groupBy(F.coalesce("industry", F.lit("Unknown")).alias("v")).agg(F.count(F.lit(1)).alias("n"))
     ranked = counts.withColumn("r", F.row_number().over(Window.orderBy(F.desc("n"), "v")))  # one row an industry
     industries = ranked.groupBy(F.when(F.col("r") <= largest, F.col("v")).otherwise("Other").alias("bin")).agg(F.sum("n").alias("n")).select(F.lit("industry").alias("kind"), "bin", "n")

@@ -20,8 +20,9 @@ DOCUMENT_KINDS = {"yc_one_liner": "one_liner", "yc_long_description": "long_desc
 def parse_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, rejected): a record needs to be an object with an id and a name; other fields may drift."""
     parsed = raw.withColumn("p", F.from_json("payload", PAYLOAD, {"mode": "PERMISSIVE"}))
-    ok = F.col("p").isNotNull() & F.col("p.id").isNotNull() & clean(F.col("p.name")).isNotNull()
-    reason = F.when(F.col("p").isNull(), "not an object").when(F.col("p.id").isNull(), "no id").otherwise("no name")
+    object_ = F.coalesce(F.ltrim("payload").startswith("{"), F.lit(False)) & F.col("p").isNotNull()
+    ok = object_ & F.col("p.id").isNotNull() & clean(F.col("p.name")).isNotNull()
+    reason = F.when(~object_, "not an object").when(F.col("p.id").isNull(), "no id").otherwise("no name")
     return parsed.where(ok), parsed.where(~ok).select("company_id", reason.alias("error"))
 
 

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.neighbors import dense_neighbors
-from weftline.runtime import materialize
+from weftline.runtime import materialize, rows_of, salted_join
 
-#: The layout is optimised in one task; more points than this go to the linear projection.
-MAX_LAYOUT_POINTS = 50_000
+#: The layout is fitted on at most so many points (all of them, or a hash sample); every other point is placed among its neighbours of those.
+LANDMARKS = 50_000
 
 
 def _smooth(group: pd.DataFrame) -> pd.DataFrame:
@@ -81,21 +81,35 @@ def linear_projection(vectors: DataFrame) -> DataFrame:
     return m.transform(v).select("id", vector_to_array("p").alias("p")).select("id", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
 
 
-def project(vectors: DataFrame, neighbors: int = 25, min_dist: float = 0.08, seed: int = 20240917, epochs: int = 200) -> DataFrame:
+def _placed(others: DataFrame, marks: DataFrame, layout: DataFrame, neighbors: int) -> DataFrame:
+    """id, x, y of points outside the layout: the mean of their nearest landmarks, weighted as the layout weighs neighbours."""
+    near = dense_neighbors(others, marks, neighbors, exclude_self=False).select("id", "neighbor_id", (1 - F.col("similarity")).alias("distance"))
+    w = near.groupBy("id").applyInPandas(_smooth, "id long, neighbor_id long, w double")
+    at = salted_join(w, layout.select(F.col("id").alias("neighbor_id"), "x", "y"), ["neighbor_id"], "inner")
+    total = F.sum("w")
+    return at.groupBy("id").agg((F.sum(F.col("w") * F.col("x")) / total).alias("x"), (F.sum(F.col("w") * F.col("y")) / total).alias("y"))
+
+
+def project(vectors: DataFrame, neighbors: int = 25, min_dist: float = 0.08, seed: int = 20240917, epochs: int = 200, landmarks: int = LANDMARKS) -> DataFrame:
     """id, x, y: a neighbourhood-preserving layout of unit vectors (UMAP's published algorithm).
 
-    Exact neighbours, fuzzy union of their weights and a linear start run distributed; the layout
-    itself is one seeded task over at most ``MAX_LAYOUT_POINTS`` points. Above that the linear
-    projection is the result. Fewer than five points are put on the unit circle.
+    Exact neighbours, fuzzy union of their weights and a linear start run distributed. The layout
+    itself is optimised in one seeded task over at most ``landmarks`` points, chosen by a hash where
+    there are more; the others are then placed among their nearest landmarks, distributed again.
+    Fewer than five points are put on the unit circle.
     """
     n = vectors.count()
+    if n > landmarks:
+        mark = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(n)) < int(landmarks * 0.95)
+        kept = materialize(vectors.where(mark).limit(landmarks), "landmarks")
+        layout = materialize(project(kept, neighbors, min_dist, seed, epochs, landmarks), "layout")
+        others = vectors.join(kept.select("id"), "id", "left_anti")
+        return layout.unionByName(_placed(others, kept, layout, min(neighbors, max(1, rows_of(kept)))))
     if n < 5:
         rows = sorted(r["id"] for r in vectors.select("id").collect())  # at most four
         spark = vectors.sparkSession
         return spark.createDataFrame([(i, math.cos(2 * math.pi * k / max(1, n)), math.sin(2 * math.pi * k / max(1, n))) for k, i in enumerate(rows)], "id long, x double, y double")
     start = linear_projection(vectors)
-    if n > MAX_LAYOUT_POINTS:
-        return start
     near = dense_neighbors(vectors, vectors, min(neighbors, n - 1)).select("id", "neighbor_id", (1 - F.col("similarity")).alias("distance"))
     one = near.groupBy("id").applyInPandas(_smooth, "id long, neighbor_id long, w double")
     back = one.select(F.col("neighbor_id").alias("id"), F.col("id").alias("neighbor_id"), F.col("w").alias("w2"))

@@ -71,16 +71,18 @@ def expand_index(compact: DataFrame) -> DataFrame:
 
 
 def search_documents(companies: DataFrame, tags: DataFrame, best: int = 14, alias_tags: int = 8) -> DataFrame:
-    """i, n, o, g, x, d, b: the text columns that are searched."""
+    """i, n, a, o, e, g, x, d, b: the text columns that are searched (a former names and e description where the companies have them)."""
+    lacking = {"former_names": "array<string>", "long_description": "string", "industries": "array<string>", "all_locations": "string"}
+    companies = companies.withColumns({c: F.lit(None).cast(t) for c, t in lacking.items() if c not in companies.columns})
     ranked = companies.select("company_id", F.posexplode(ranked_tags()).alias("pos", "r")).select("company_id", "pos", F.col("r.tag").alias("tag_id"))
     named = salted_join(ranked.where(F.col("pos") < best), tags.select("tag_id", "canonical_name", F.slice("aliases", 1, 2).alias("aliases")), ["tag_id"], "inner")
     per = named.groupBy("company_id").agg(F.array_sort(F.collect_set(F.struct("pos", "canonical_name", "aliases"))).alias("t"))
     x = F.array_distinct(F.flatten(F.transform(F.filter("t", lambda t: t["pos"] < alias_tags), lambda t: t["aliases"])))
-    base = companies.select("company_id", "name", "one_liner", "industry", "subindustry", "source_tags", "batch", "regions", "status", "stage").distinct()
+    base = companies.select("company_id", "name", "former_names", "one_liner", "long_description", "industry", "subindustry", "industries", "source_tags", "batch", "all_locations", "regions", "status", "stage").distinct()
     return base.join(per, "company_id", "left").select(
-        F.col("company_id").alias("i"), F.col("name").alias("n"), F.coalesce("one_liner", F.lit("")).alias("o"), F.coalesce(F.array_join(F.transform("t", lambda t: t["canonical_name"]), " "), F.lit("")).alias("g"),
-        F.coalesce(F.array_join(x, " "), F.lit("")).alias("x"), F.concat_ws(" ", "industry", "subindustry", F.array_join("source_tags", " ")).alias("d"),
-        F.concat_ws(" ", "batch", F.array_join("regions", " "), "status", "stage").alias("b"),
+        F.col("company_id").alias("i"), F.col("name").alias("n"), F.coalesce(F.array_join("former_names", " "), F.lit("")).alias("a"), F.coalesce("one_liner", F.lit("")).alias("o"), F.coalesce(truncate(F.col("long_description"), 420), F.lit("")).alias("e"), F.coalesce(F.array_join(F.transform("t", lambda t: t["canonical_name"]), " "), F.lit("")).alias("g"),
+        F.coalesce(F.array_join(x, " "), F.lit("")).alias("x"), F.concat_ws(" ", "industry", "subindustry", F.array_join("industries", " "), F.array_join("source_tags", " ")).alias("d"),
+        F.concat_ws(" ", "batch", "all_locations", F.array_join("regions", " "), "status", "stage").alias("b"),
     )
 
 
@@ -164,20 +166,3 @@ def csr_matrix(features: DataFrame, rows: DataFrame, columns: DataFrame, row: st
     w = Window.partitionBy("b").orderBy("r").rowsBetween(Window.unboundedPreceding, 0)
     ptr = blocks.join(F.broadcast(start), "b").withColumn("end", F.col("o") + F.sum("nnz").over(w))
     return coo, ptr.select("r", (F.col("end") - F.col("nnz")).alias("start"), "end")
-
-
-def detail_records(companies: DataFrame, tag_rows: DataFrame, neighbors: DataFrame | None = None, most: int = 12) -> DataFrame:
-    """company_id, shard, record (JSON): the company, its tags by value and its first neighbours per space."""
-    from weftline.functions.hashing import shard_for
-
-    key = F.struct((-F.col("feature_value")).alias("k"), "tag_id")
-    others = [c for c in tag_rows.columns if c != "company_id"]
-    tags = tag_rows.groupBy("company_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), F.struct(*others).alias("v")))), lambda x: x["v"]).alias("tags"))
-    out = companies.join(tags, "company_id", "left")
-    if neighbors is not None:
-        w = Window.partitionBy("company_id", "space").orderBy("rank")
-        there = companies.select(F.col("company_id").alias("neighbor_company_id"))
-        kept = neighbors.join(there, "neighbor_company_id", "left_semi").withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
-        nb = kept.groupBy("company_id").agg(F.array_sort(F.collect_list(F.struct("space", "_n", F.col("neighbor_company_id").alias("id"), F.round("similarity", 4).alias("score")))).alias("neighbors"))
-        out = out.join(nb, "company_id", "left")
-    return out.select("company_id", shard_for(F.col("company_id")).alias("shard"), F.to_json(F.struct(*out.columns)).alias("record"))

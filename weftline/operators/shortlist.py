@@ -11,24 +11,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import normalize_name
-from weftline.runtime import salted_join
+from weftline.runtime import materialize, salted_join
 
 REASONS = ("retrieval", "facet_prior", "alias", "metadata_rule", "parent", "hard_negative")
 
 
-def alias_hits(texts: DataFrame, tags: DataFrame, least: int = 4, most_words: int = 6) -> DataFrame:
+def alias_hits(texts: DataFrame, tags: DataFrame, least: int = 4) -> DataFrame:
     """entity, tag_id: tags one of whose normalised names stands in the normalised text.
 
-    Texts are cut into word n-grams up to the longest alias and joined on equality, so no text
-    meets every alias. An alias of several tags belongs to the smallest id.
+    Texts are cut into word n-grams of the lengths that aliases have, however long, and joined on
+    equality, so no text meets every alias. An alias of several tags belongs to the smallest id.
     """
     names = tags.select("tag_id", F.explode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("a"))
     keyed = names.select("tag_id", normalize_name(F.col("a")).alias("gram")).where(F.length("gram") >= least).groupBy("gram").agg(F.min("tag_id").alias("tag_id"))
+    keyed = materialize(keyed.where("gram <> ''").withColumn("words", F.size(F.split("gram", " "))), "aliases")
+    lengths = sorted(r[0] for r in keyed.select("words").distinct().collect())  # one row a length
+    if not lengths:
+        return texts.select("entity", F.lit(None).cast("string").alias("tag_id")).limit(0)
     words = F.filter(F.split(normalize_name(F.col("text")), " "), lambda w: w != "")
     w = texts.select("entity", words.alias("w")).where(F.size("w") > 0)
-    grams = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most_words)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - n + 1)), lambda i: F.array_join(F.slice("w", i, n), " ")))))
+    grams = F.array_distinct(F.flatten(F.transform(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.size("w")), lambda n: F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " ")))))
     rows = w.select("entity", F.explode(grams).alias("gram"))
-    return rows.join(keyed, "gram").select("entity", "tag_id").distinct()
+    return salted_join(rows, keyed.drop("words"), ["gram"], "inner").select("entity", "tag_id").distinct()
 
 
 def mapped_tags(entity_terms: DataFrame, mappings: DataFrame, tags: DataFrame) -> DataFrame:

@@ -7,18 +7,22 @@ from pyspark.sql import functions as F
 
 from weftline.operators import judging as J
 from weftline.operators import quality as Q
+from weftline.runtime import materialize
 from weftline.sources.tables import table
 
 KEEP = ["judgment_id", "decision", "confidence", "evidence", "shortlist_reason"]
+DETAIL = [*KEEP, "rationale", "notes"]
 ORDER = ["created_at", "appended_at", "judgment_id"]
 
 
-def consolidated(spark: SparkSession, d: str) -> DataFrame:
-    return J.last_wins(table(spark, d, "company_tag_judgments"), ["company_id", "tag_id"], ORDER, KEEP)
+def consolidated(spark: SparkSession, d: str, keep: list[str] = KEEP) -> DataFrame:
+    """The newest judgment of every pair, written: what is derived from it reads it and doesn't compute it again."""
+    return materialize(J.last_wins(table(spark, d, "company_tag_judgments"), ["company_id", "tag_id"], ORDER, keep), "judgments")
 
 
 def finalize_last_wins(spark: SparkSession, d: str) -> DataFrame:
-    return consolidated(spark, d).select("company_id", "tag_id", "judgment_id", "decision", "confidence", F.size("evidence").cast("bigint").alias("quotes"))
+    last = J.last_wins(table(spark, d, "company_tag_judgments"), ["company_id", "tag_id"], ORDER, ["judgment_id", "decision", "confidence", "evidence"])
+    return last.select("company_id", "tag_id", "judgment_id", "decision", "confidence", F.size("evidence").cast("bigint").alias("quotes"))
 
 
 _LAST = """

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.functions import hashing as H
 from weftline.functions import text as T
 from weftline.operators import lifecycle as C
 from weftline.operators import ontology as O
 from weftline.operators import quality as Q
+from weftline.operators import release as E
 from weftline.plans import directory as D
 from weftline.plans.judging import _FEATURES, consolidated, norm_sql, sparse_features
 from weftline.sources.tables import table
@@ -56,9 +58,14 @@ def published_tags(spark: SparkSession, d: str) -> DataFrame:
 
 def used_terms(spark: SparkSession, d: str) -> DataFrame:
     """Mappings of used terms to existing tags, by term and falling similarity."""
-    terms = D.companies(spark, d).select(F.explode("source_tags").alias("t")).where("t IS NOT NULL").select(F.concat(F.lit("tag:"), T.slugify(F.col("t"))).alias("term_id")).distinct()
-    m = table(spark, d, "source_taxonomy_tag_mappings").select("mapping_id", "term_id", "tag_id", "similarity").distinct()
-    return m.join(terms, "term_id", "left_semi").join(table(spark, d, "tags").select("tag_id"), "tag_id", "left_semi")
+    _, m = E.used_taxonomy(D.company_terms(D.companies(spark, d)), table(spark, d, "source_taxonomy_terms"), table(spark, d, "source_taxonomy_tag_mappings"), table(spark, d, "tags"))
+    return m
+
+
+def taxonomy_terms(spark: SparkSession, d: str) -> DataFrame:
+    """The source terms in use, as published."""
+    t, _ = E.used_taxonomy(D.company_terms(D.companies(spark, d)), table(spark, d, "source_taxonomy_terms"), table(spark, d, "source_taxonomy_tag_mappings"), table(spark, d, "tags"))
+    return t.withColumn("count", F.col("count").cast("bigint"))
 
 
 def release_gates(spark: SparkSession, d: str) -> DataFrame:
@@ -82,7 +89,9 @@ def release_gates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def duplicate_names(spark: SparkSession, d: str) -> DataFrame:
-    return Q.duplicate_names(table(spark, d, "tags").withColumn("state", F.lit("active"))).select("key", F.array_join("tag_ids", ",").alias("tag_ids"))
+    """Companies whose names are spellings of one another."""
+    c = D.current(spark, d).select(F.col("company_id").alias("tag_id"), F.col("name").alias("canonical_name"), F.lit("active").alias("state"))
+    return Q.duplicate_names(c).select("key", F.array_join("tag_ids", ",").alias("tag_ids"))
 
 
 def alias_table(spark: SparkSession, d: str) -> DataFrame:
@@ -90,12 +99,12 @@ def alias_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def accumulated_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Tags of companies as proposals, two batches of companies by shard parity: support accumulated per candidate."""
+    """Tags of companies as proposals for their facets, two batches of companies by shard parity: support accumulated per candidate."""
     c = D.companies(spark, d).select("company_id", F.explode(F.array_distinct(F.col("tag_ids"))).alias("tag_id")).where("tag_id IS NOT NULL")
-    ids = c.withColumn("batch", F.length("company_id") % 2).groupBy("batch", "tag_id").agg(F.sort_array(F.collect_set("company_id")).alias("ids"))
+    ids = c.withColumn("batch", H.shard_for(F.col("company_id")) % 2).groupBy("batch", "tag_id").agg(F.sort_array(F.collect_set("company_id")).alias("ids"))
     p = ids.join(table(spark, d, "tags").select("tag_id", "facet", "definition"), "tag_id").select(F.col("tag_id").alias("name"), "facet", "definition", F.col("ids").alias("supporting_company_ids"), F.col("ids").alias("batch_company_ids"))
-    facets = ["product", "business_model", "data_asset"]
-    out = C.accumulate_candidates(C.validated_candidates(p.where(F.col("facet").isin(*facets)), facets))
+    facets = sorted(r[0] for r in table(spark, d, "tags").select("facet").where("facet IS NOT NULL").distinct().collect())  # the ontology's facets
+    out = C.accumulate_candidates(C.validated_candidates(p, facets))
     return out.select("candidate_id", "facet", F.col("support_count").cast("bigint").alias("support"))
 
 
@@ -113,7 +122,7 @@ def _gate(name: str, body: str, sample: str) -> str:
 
 
 _KEY = "company_id || '/' || tag_id"
-QUERIES = {f.__name__: f for f in (merge_chain_follow, minted_ids, name_index, activation, registry_stats, facet_distribution, display_names, published_tags, used_terms, release_gates, duplicate_names, alias_table, accumulated_candidates, display_name_migration)}
+QUERIES = {f.__name__: f for f in (merge_chain_follow, minted_ids, name_index, activation, registry_stats, facet_distribution, display_names, published_tags, used_terms, taxonomy_terms, release_gates, duplicate_names, alias_table, accumulated_candidates, display_name_migration)}
 ORACLES = {
     "merge_chain_follow": """WITH RECURSIVE t AS (SELECT DISTINCT tag_id, state, CASE WHEN state = 'merged' THEN merged_into END AS p FROM tags),
       c(tag_id, cur, path) AS (SELECT tag_id, tag_id, [tag_id] FROM t UNION ALL SELECT c.tag_id, t.p, list_append(path, t.p) FROM c JOIN t ON t.tag_id = c.cur WHERE t.p IS NOT NULL AND NOT list_contains(path, t.p))
@@ -127,9 +136,14 @@ ORACLES = {
     "activation": "SELECT tag_id, CASE WHEN state = 'candidate' AND support_count >= 2 AND length(definition) >= 20 THEN 'active' ELSE state END AS state FROM tags",
     "registry_stats": "SELECT count(*) FILTER (WHERE state = 'active') AS active, count(*) FILTER (WHERE state = 'candidate') AS candidate, count(*) FILTER (WHERE state = 'merged') AS merged, count(*) FILTER (WHERE state = 'deprecated') AS deprecated, sum(coalesce(len(aliases), 0))::BIGINT AS aliases FROM tags",
     "facet_distribution": "SELECT facet, count(*) AS n FROM tags WHERE state = 'active' GROUP BY facet",
-    "published_tags": f"WITH {_FEATURES}, k AS (SELECT tag_id, count(*) AS k FROM features GROUP BY tag_id) SELECT tag_id, coalesce(k, 0) AS prevalence, support_count::BIGINT AS support FROM tags LEFT JOIN k USING (tag_id) WHERE state = 'active' ORDER BY 2 DESC, 3 DESC, 1 LIMIT 200",
-    "used_terms": f"""WITH {D._CO}, e AS (SELECT DISTINCT 'tag:' || {D.slug_sql("s")} AS term_id FROM (SELECT unnest(source_tags) AS s FROM co) WHERE s IS NOT NULL)
-      SELECT DISTINCT mapping_id, term_id, tag_id, similarity FROM source_taxonomy_tag_mappings WHERE term_id IN (SELECT term_id FROM e) AND tag_id IN (SELECT tag_id FROM tags)""",
+    "published_tags": f"WITH {_FEATURES}, k AS (SELECT tag_id, count(*) AS k FROM features GROUP BY tag_id) SELECT tag_id, coalesce(k, 0) AS prevalence, support_count::BIGINT AS support FROM tags LEFT JOIN k USING (tag_id) WHERE state = 'active' ORDER BY 2 DESC, 3 DESC, 1",
+    "used_terms": f"""WITH {D._CO}, {D._TERMS}
+      SELECT DISTINCT mapping_id, term_id, tag_id, relation, round(similarity, 4) AS similarity, reviewed FROM source_taxonomy_tag_mappings WHERE term_id IN (SELECT term_id FROM e) AND tag_id IN (SELECT tag_id FROM tags)""",
+    "taxonomy_terms": f"""WITH {D._CO}, {D._TERMS}, t AS (SELECT *, row_number() OVER (PARTITION BY term_id ORDER BY kind, name, parent_term_id NULLS FIRST, company_count) AS rn FROM source_taxonomy_terms WHERE term_id IN (SELECT term_id FROM e))
+      SELECT term_id, kind, name, parent_term_id AS parent, company_count::BIGINT AS "count" FROM t WHERE rn = 1""",
+    "display_names": """WITH w AS (SELECT tag_id, list_filter(string_split(replace(replace(tag_id, '-', ' '), '_', ' '), ' '), lambda x: x <> '') AS w FROM tags)
+      SELECT tag_id, array_to_string(list_transform(w, lambda x: CASE WHEN x IN ('ai', 'api', 'ml', 'hr', 'crm', 'erp', 'ev', 'ui', 'ux', 'ci', 'cd', 'pos', 'kyc', 'aml', 'ehr', 'emr', 'gpu', 'cpu', 'sql', 'ocr', 'nlp', 'seo', 'sdk', 'llm', '3d') THEN upper(x) WHEN x = 'iot' THEN 'IoT' WHEN x = 'saas' THEN 'SaaS'
+        ELSE upper(x[1:1]) || x[2:] END), ' ') AS name FROM w""",
     "release_gates": f"WITH {_J}, co AS (SELECT DISTINCT * FROM companies) " + " UNION ALL ".join([
         _gate("required_ids", "SELECT content_hash FROM companies_raw WHERE source IS NOT NULL AND coalesce(trim(company_id), '') = ''", "content_hash"),
         _gate("company_reference", "SELECT * FROM last WHERE company_id NOT IN (SELECT company_id FROM companies_normalized)", _KEY),
@@ -145,9 +159,9 @@ ORACLES = {
     "alias_table": f"""WITH a AS (SELECT DISTINCT tag_id, unnest(list_concat([canonical_name], coalesce(aliases, []))) AS alias FROM tags), k AS (SELECT tag_id || ':' || {D.slug_sql("alias")} AS alias_id, tag_id, alias, {norm_sql("alias")} AS normalized_alias FROM a)
       SELECT alias_id, tag_id, alias, normalized_alias FROM (SELECT *, row_number() OVER (PARTITION BY alias_id ORDER BY tag_id, alias) AS rn FROM k WHERE normalized_alias <> '') WHERE rn = 1""",
     "accumulated_candidates": f"""WITH {D._CO}, e AS (SELECT DISTINCT company_id, t FROM (SELECT company_id, unnest(tag_ids) AS t FROM co) WHERE t IS NOT NULL)
-      SELECT facet || ':' || t AS candidate_id, facet, count(DISTINCT company_id) AS support FROM e JOIN tags ON tag_id = t WHERE facet IN ('product', 'business_model', 'data_asset') AND length(trim(definition)) >= 20 GROUP BY ALL""",
+      SELECT facet || ':' || t AS candidate_id, facet, count(DISTINCT company_id) AS support FROM e JOIN tags ON tag_id = t WHERE length(trim(definition)) >= 20 GROUP BY ALL""",
     "display_name_migration": """WITH w AS (SELECT tag_id, list_filter(string_split(replace(tag_id, '-', ' '), ' '), lambda x: x <> '') AS w FROM tags),
       n AS (SELECT tag_id, array_to_string(list_transform(w, lambda x: CASE WHEN x IN ('ai', 'api', 'ml', 'hr', 'crm', 'erp', 'ev', 'ui', 'ux', 'ci', 'cd', 'iot', 'pos') THEN upper(x) ELSE upper(x[1:1]) || x[2:] END), ' ') AS name FROM w)
       SELECT tag_id, tag_id AS "before", name AS "after" FROM n WHERE name <> tag_id""",
-    "duplicate_names": f"SELECT key, string_agg(tag_id, ',' ORDER BY tag_id) AS tag_ids FROM (SELECT DISTINCT {norm_sql('canonical_name')} AS key, tag_id FROM tags) GROUP BY key HAVING count(*) > 1",
+    "duplicate_names": f"SELECT key, string_agg(company_id, ',' ORDER BY company_id) AS tag_ids FROM (SELECT DISTINCT {norm_sql('name')} AS key, company_id FROM {D._RAW}) WHERE key IS NOT NULL GROUP BY key HAVING count(*) > 1",
 }

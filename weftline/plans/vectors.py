@@ -69,11 +69,15 @@ def quantized(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shortlist_rules(spark: SparkSession, d: str) -> DataFrame:
-    """Candidate labels of every vector: similarity, best of each facet and hashed hard negatives."""
+    """Candidate labels of every vector by all six rules: similarity, best of each facet, an alias (the next label), a mapping (its own), parents of the first three labels, and hashed hard negatives."""
     tags = centroids(spark, d).select(F.col("label").cast("long").alias("id"), V.l2_normalize(F.col("v")).alias("v"))
-    near = N.dense_neighbors(units(spark, d), tags, 1000, exclude_self=False)
+    u = units(spark, d)
+    near = N.dense_neighbors(u, tags, max(1, tags.count()), exclude_self=False)
     sims = near.select(F.col("id").alias("entity"), F.col("neighbor_id").alias("tag_id"), (F.col("neighbor_id") % 3).alias("facet"), F.col("similarity").alias("score"))
-    return S.shortlist(sims, size=2, hard_negatives=1)
+    label = F.col("label").cast("long")
+    alias, mapped = (u.where(w).select(F.col("id").alias("entity"), c.alias("tag_id")) for w, c in (("id % 3 = 0", (label + 1) % 10), ("id % 2 = 0", label)))
+    parents = tags.where("id < 3").select(F.col("id").alias("tag_id"), (F.col("id") + 5).alias("parent_id"))
+    return S.shortlist(sims, alias, mapped, parents, size=2, hard_negatives=1)
 
 
 def procrustes_rescale(spark: SparkSession, d: str) -> DataFrame:
@@ -101,20 +105,21 @@ def _sim(a: str, b: str) -> str:
     return _SIM.replace("A", a).replace("B", b)
 
 
+KNN_SPARSE_SQL = """WITH f AS (SELECT e, l, max(v) AS v FROM (SELECT company_id AS e, unnest(tag_ids) AS l, unnest(tag_scores) AS v FROM companies) WHERE l IS NOT NULL AND v BETWEEN 0 AND 1 AND v > 0 GROUP BY ALL),
+      t AS (SELECT e, sum(v) AS s FROM f GROUP BY e), p AS (SELECT a.e AS e, b.e AS o, sum(least(a.v, b.v)) AS m FROM f a JOIN f b ON a.l = b.l AND a.e <> b.e GROUP BY ALL),
+      s AS (SELECT p.e AS entity, o AS neighbor, round(m / (x.s + y.s - m), 9) AS s FROM p JOIN t x ON x.e = p.e JOIN t y ON y.e = p.o)
+      SELECT entity, neighbor, round(s, 6) AS similarity, rn - 1 AS rank FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY s DESC, neighbor) AS rn FROM s) WHERE rn <= 8"""
 QUERIES = {f.__name__: f for f in (knn_dense, knn_sparse_jaccard, combined_vector, term_tag_mapping, merge_candidates, quantized, shortlist_rules, procrustes_rescale, projection_2d, kmeans_clusters)}
 ORACLES = {
     "knn_dense": f"""WITH {_U}, s AS (SELECT a.id, b.id AS neighbor_id, round({_sim("a.v", "b.v")}, 9) AS s FROM u a JOIN u b ON a.id <> b.id)
       SELECT id, neighbor_id, round(s, 6) AS similarity, rn - 1 AS rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, neighbor_id) AS rn FROM s) WHERE rn <= 8""",
-    "knn_sparse_jaccard": """WITH f AS (SELECT e, l, max(v) AS v FROM (SELECT company_id AS e, unnest(tag_ids) AS l, unnest(tag_scores) AS v FROM companies) WHERE l IS NOT NULL AND v BETWEEN 0 AND 1 AND v > 0 GROUP BY ALL),
-      t AS (SELECT e, sum(v) AS s FROM f GROUP BY e), p AS (SELECT a.e AS e, b.e AS o, sum(least(a.v, b.v)) AS m FROM f a JOIN f b ON a.l = b.l AND a.e <> b.e GROUP BY ALL),
-      s AS (SELECT p.e AS entity, o AS neighbor, round(m / (x.s + y.s - m), 9) AS s FROM p JOIN t x ON x.e = p.e JOIN t y ON y.e = p.o)
-      SELECT entity, neighbor, round(s, 6) AS similarity, rn - 1 AS rank FROM (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY s DESC, neighbor) AS rn FROM s) WHERE rn <= 8""",
+    "knn_sparse_jaccard": KNN_SPARSE_SQL,
     "combined_vector": """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS a FROM embeddings),
       n AS (SELECT vec_id, a, list_reverse(a) AS b, sqrt(list_dot_product(a, a)) AS l, CASE WHEN vec_id % 2 = 0 THEN -0.25 ELSE 0 END AS t FROM e),
       m AS (SELECT vec_id, list_transform(generate_series(1, len(a)), lambda i: (0.55 + t) * a[i] / l + 0.20 * b[i] / l) AS v FROM n),
       k AS (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM m)
-      SELECT vec_id, i - 1 AS i, round(v[i], 6) AS x FROM k, (SELECT unnest([1, 2, 3, 4])::BIGINT AS i)""",
-    "term_tag_mapping": f"""WITH {_U}, s AS (SELECT c.id AS term_id, u.id AS tag_id, round({_sim("c.v", "u.v")}, 9) AS s FROM u c, u WHERE c.id % 50 = 0),
+      SELECT vec_id, i - 1 AS i, round(v[i], 6) AS x FROM k, (SELECT unnest(generate_series(1, (SELECT max(len(embedding)) FROM embeddings)))::BIGINT AS i)""",
+    "term_tag_mapping": f"""WITH {_U}, s AS (SELECT c.id AS term_id, u.id AS tag_id, round({_sim("c.v", "u.v")}, 9) AS s FROM u c, u),
       r AS (SELECT *, row_number() OVER (PARTITION BY term_id ORDER BY s DESC, tag_id) AS rank FROM s)
       SELECT term_id, tag_id, CASE WHEN round(s, 6) >= 0.9 THEN 'equivalent' WHEN round(s, 6) >= 0.78 THEN 'narrower' ELSE 'related' END AS relation, round(s, 6) AS similarity, rank FROM r WHERE rank <= 3 AND round(s, 6) >= 0.68""",
     "merge_candidates": f"""WITH {_U}, p AS (SELECT a.id AS i, b.id AS j, a.id % 7 AS si, b.id % 7 AS sj, {_sim("a.v", "b.v")} AS s FROM u a JOIN u b ON a.label = b.label AND a.id < b.id)
@@ -124,7 +129,9 @@ ORACLES = {
       SELECT vec_id, list_sum(q)::BIGINT AS total, list_max(q)::BIGINT AS largest FROM q""",
     "shortlist_rules": f"""WITH {_U}, {_C}, s AS (SELECT u.id AS entity, c.label::BIGINT AS tag_id, c.label % 3 AS facet, round(round({_sim("u.v", "c.v")}, 9), 6) AS score, round({_sim("u.v", "c.v")}, 9) AS s9 FROM u, c),
       r AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY score DESC, tag_id) AS rank, row_number() OVER (PARTITION BY entity, facet ORDER BY score DESC, tag_id) AS fr FROM s),
-      p AS (SELECT entity, tag_id, score, CASE WHEN rank <= 2 THEN 'retrieval' WHEN fr = 1 THEN 'facet_prior' END AS reason, rank FROM r),
+      k0 AS (SELECT entity, tag_id, CASE WHEN rank <= 2 THEN 0 ELSE 1 END AS prio FROM r WHERE rank <= 2 OR fr = 1 UNION ALL SELECT id, (label::BIGINT + 1) % 10, 2 FROM u WHERE id % 3 = 0 UNION ALL SELECT id, label::BIGINT, 3 FROM u WHERE id % 2 = 0),
+      k AS (SELECT entity, tag_id, min(prio) AS prio FROM (SELECT * FROM k0 UNION ALL SELECT entity, tag_id + 5, 4 FROM k0 WHERE tag_id < 3) GROUP BY ALL),
+      p AS (SELECT r.entity, r.tag_id, score, (['retrieval', 'facet_prior', 'alias', 'metadata_rule', 'parent'])[prio + 1] AS reason, rank FROM r LEFT JOIN k ON k.entity = r.entity AND k.tag_id = r.tag_id),
       h AS (SELECT entity, tag_id, score, row_number() OVER (PARTITION BY entity ORDER BY sha256('20240917|' || entity || '|' || tag_id)) AS n FROM p WHERE reason IS NULL AND rank > 2 AND rank <= 6)
       SELECT entity, tag_id, reason, score FROM p WHERE reason IS NOT NULL UNION ALL SELECT entity, tag_id, 'hard_negative', score FROM h WHERE n = 1""",
     "procrustes_rescale": """WITH p AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings), m AS (SELECT avg(x) AS mx, avg(y) AS my FROM p),

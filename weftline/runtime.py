@@ -58,7 +58,7 @@ def shared_dir(spark: SparkSession) -> str:
     return str(sc._jsc.sc().getCheckpointDir().get()).rstrip("/")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
@@ -95,7 +95,7 @@ def release(*frames: DataFrame | None) -> None:
     for df in frames:
         path = getattr(df, "_weftline_path", None) if df is not None else None
         if path:
-            _delete(df.sparkSession, path)
+            delete(df.sparkSession, path)
 
 
 def bounded_broadcast(df: DataFrame, rows: int, bound: int = 200_000) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,20 +39,30 @@ def write_jsonl(df: DataFrame, path: str, key: str, files: int | None = None) ->
     (out.coalesce(files) if files else out).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, batch: str | None = None) -> bool:
+    """Append to a log. A named batch is written to a part of its own once: a replay finds it and adds nothing (False)."""
+    if batch is None:
+        df.write.mode("append").parquet(path)
+        return True
+    part = f"{path}/batch={batch}"
+    if exists(df.sparkSession, f"{part}/_SUCCESS"):
+        return False
+    df.write.mode("overwrite").parquet(part)
+    return True
 
 
 def write_document(spark: SparkSession, path: str, value: Any) -> None:
-    """One small JSON document, keys sorted, put in place by a rename."""
+    """One small JSON document, keys sorted, put in place by one overwriting rename: a reader sees the old one or the new one."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    tmp, dest = jvm.org.apache.hadoop.fs.Path(path + ".tmp"), jvm.org.apache.hadoop.fs.Path(path)
+    tmp, dest = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp"), jvm.org.apache.hadoop.fs.Path(path)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(dest.toUri() if "://" in path or path.startswith("file:") else tmp.getFileSystem(conf).getUri(), conf)
     fs = dest.getFileSystem(conf)
     out = fs.create(tmp, True)
     out.write(bytearray(json.dumps(value, sort_keys=True, separators=(",", ":"), default=str, ensure_ascii=False).encode()))
     out.close()
-    fs.delete(dest, False)
-    fs.rename(tmp, dest)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(tmp, dest, options)
 
 
 def read_document(spark: SparkSession, path: str) -> Any:
