@@ -10,8 +10,8 @@ constants are one template. Counts add up, so the tree is mined by aggregations
 their shuffle, and is the same however rows are cut or ordered; no leaf is gathered.
 
 Each template is classified once: by the mean probability of its units over the documents that hold
-them and by its support: of what several documents hold, a message stands alone in most of them, and an
-ordinary sentence beside others. The verdict goes back to the units, each of which has been checked
+them and by its support, as log odds: a message stands alone in the documents that hold it, an ordinary
+sentence beside others. The verdict goes back to the units, each of which has been checked
 itself: one without any doubt is no notice whatever its template, and a sure one is.
 
 * ``slot``: an unfilled slot, an instruction to fill one, or a program's word for no value;
@@ -44,8 +44,8 @@ from weftline.runtime import materialize, release, rows_of, salted_join
 UNIT_BREAK = re.compile(r"[\n\r\u2028\u2029]+|(?<=[.!?…])\s+")
 #: Probabilities: a notice by itself; a unit in doubt, for its template to decide; an instruction to fill in; navigation.
 SURE, DOUBT, FILL, AROUND = 0.95, 0.2, 0.7, 0.6
-#: A template of at least so many documents is a notice if this share of them holds no text beside it; one of fewer if it is likely.
-SUPPORT, ALONE, LIKELY = 3, 0.5, 0.5
+#: What a document that holds a template and no text, or text beside it, adds to the template's log odds of being a notice, and the most that all of them add.
+ALONE, BESIDE, MOST = 0.5, -1.5, 6.0
 
 # --- marks
 
@@ -161,7 +161,7 @@ def unit_kind(unit: str, model: NoticeModel) -> tuple[str, float]:
     low = model.words(unit)
     if unit[:1] in '{aF' and (_JSON.match(unit) or _STACK.match(unit)):
         return "doubt", 1.0
-    if len(low) < 9 and (not WORD.search(unit) or _REF.match(unit) or _FOOT.match(unit)):
+    if len(unit) < 80 and (not WORD.search(unit) or _REF.match(unit) or _FOOT.match(unit)):
         return "around", 0.0
     shape = model.shape(low)
     notice = model.score(low, "notice", shape)
@@ -266,8 +266,9 @@ def mine_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     told = units.join(mine(units), "unit")
     told = materialize(told, "mined")
     per = told.groupBy("template").agg(F.count(F.lit(1)).alias("units"), F.sum("docs").alias("docs"), F.sum("alone").alias("alone"), (F.sum(F.col("p") * F.col("docs")) / F.sum("docs")).alias("p"))
-    likely = F.when(F.col("docs") >= SUPPORT, F.col("alone") >= ALONE * F.col("docs")).otherwise(F.col("p") >= LIKELY)
-    verdict = F.when((F.col("p") >= SURE) | likely, "notice").otherwise("text")
+    p = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("p")))
+    support = F.greatest(F.lit(-MOST), F.least(F.lit(MOST), ALONE * F.col("alone") + BESIDE * (F.col("docs") - F.col("alone"))))
+    verdict = F.when((F.col("p") >= SURE) | (F.log(p / (1 - p)) + support >= 0), "notice").otherwise("text")
     templates = materialize(per.withColumn("verdict", verdict), "templates")
     back = salted_join(told.select("unit", "p", "template"), templates.select("template", "verdict"), ["template"], "inner")
     back = materialize(back.withColumn("verdict", F.when(F.col("p") >= SURE, "notice").otherwise(F.col("verdict"))), "told")
