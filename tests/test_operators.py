@@ -271,6 +271,9 @@ def test_projection_is_repeatable_and_finite(spark):
     a = P.rescale(P.project(v, neighbors=5, epochs=30))
     assert rows(a) == rows(P.rescale(P.project(v, neighbors=5, epochs=30))) and all(abs(r["x"]) < 10 for r in a.collect())
     assert P.project(v.limit(3)).count() == 3
+    some = P.project(v, neighbors=5, epochs=10, landmarks=20)  # the others are placed among the landmarks
+    assert sorted(r["id"] for r in some.collect()) == list(range(30)) and some.where("isnan(x) OR x IS NULL").count() == 0
+    assert {r["id"] for r in P.project(v.withColumn("id", F.concat(F.lit("k"), "id")), neighbors=5, epochs=5).collect()} == {f"k{i}" for i in range(30)}
     assert P.cluster_summary(P.clusters(a, 3)).agg(F.sum("size")).first()[0] == 30
 
 

@@ -65,7 +65,7 @@ def test_landed_directory(spark, tmp_path):
     (tmp_path / "all.json").write_text('[{"name":"A", "id":1},{"id":2},"x",{"id":3,"name":"C","more":[1],"tags":["t","t"]},{"id":4,"name":" "}]')
     good, bad = directory.read_landed(spark, str(tmp_path / "all.json"), prefix="p", last_updated="2026-01-01")
     assert rows(good.select("company_id", "payload")) == [("p:1", '{"id":1,"name":"A"}'), ("p:3", '{"id":3,"more":[1],"name":"C","tags":["t","t"]}')] and good.columns == schemas.schema_of("companies_raw").names
-    assert rows(bad.select("error")) == [("no id",), ("no name",), ("not an object",)]
+    assert rows(bad.select("error")) == [("no name",), ("no name",), ("not JSON",)]
     assert sum(x.count() for x in directory.read_landed(spark, str(tmp_path / "all.json"), limit=2)) == 2
     assert rows(directory.fixture_terms(good).select("kind", "slug", "company_count")) == [("tag", "t", 2)]
     (tmp_path / "l.jsonl").write_text('{"id":1,"name":"A"}\n\nnonsense\n')

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftline.operators.neighbors import dense_neighbors
-from weftline.runtime import materialize, rows_of, salted_join
+from weftline.runtime import materialize, row_numbers, rows_of, salted_join
 
 #: The layout is fitted on at most so many points (all of them, or a hash sample); every other point is placed among its neighbours of those.
 LANDMARKS = 50_000
@@ -98,6 +98,10 @@ def project(vectors: DataFrame, neighbors: int = 25, min_dist: float = 0.08, see
     there are more; the others are then placed among their nearest landmarks, distributed again.
     Fewer than five points are put on the unit circle.
     """
+    if vectors.schema["id"].dataType.simpleString() != "bigint":  # the layout counts on numbers
+        numbered = materialize(row_numbers(vectors, ["id"], "_n"), "numbered")
+        flat = project(numbered.select(F.col("_n").alias("id"), "v"), neighbors, min_dist, seed, epochs, landmarks)
+        return numbered.select("id", "_n").join(flat.withColumnRenamed("id", "_n"), "_n").drop("_n")
     n = vectors.count()
     if n > landmarks:
         mark = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(n)) < int(landmarks * 0.95)
