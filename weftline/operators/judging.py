@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.scoring import calibrate, information_weight
 from weftline.functions.text import normalize_name
-from weftline.runtime import salted_join
+from weftline.runtime import materialize, salted_join
 
 
 def last_wins(log: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str]) -> DataFrame:
@@ -55,11 +55,12 @@ def verified_evidence(judged: DataFrame, documents: DataFrame) -> DataFrame:
     """
     quotes = judged.select("judgment_id", F.explode("evidence").alias("e")).select("judgment_id", "e.document_id", F.substring("e.quote", 1, 240).alias("quote")).distinct()
     wanted = quotes.select("document_id").distinct()
-    # Normalise each cited document once, not once a quote; documents nobody cites drop out first.
-    docs = documents.join(wanted, "document_id", "left_semi").groupBy("document_id").agg(F.collect_set(normalize_name(F.col("text"))).alias("texts"))
-    q = normalize_name(F.col("quote"))
-    hit = (F.length(q) > 0) & F.coalesce(F.exists("texts", lambda t: F.contains(t, q)), F.lit(False))
-    return salted_join(quotes, docs, ["document_id"], "left").select("judgment_id", "document_id", "quote", F.coalesce(hit, F.lit(False)).alias("verified"))
+    # Normalise each cited document once, not once a quote; documents nobody cites drop out first. A document with several texts stays several rows.
+    docs = documents.join(wanted, "document_id", "left_semi").where("text IS NOT NULL").select("document_id", normalize_name(F.col("text")).alias("t")).distinct()
+    asked = materialize(quotes.withColumn("q", normalize_name(F.col("quote"))), "quotes")
+    hit = (F.length("q") > 0) & F.col("t").contains(F.col("q"))
+    rows = salted_join(asked, docs, ["document_id"], "left").select("judgment_id", "document_id", "quote", F.coalesce(hit, F.lit(False)).alias("hit"))
+    return rows.groupBy("judgment_id", "document_id", "quote").agg(F.max("hit").alias("verified"))
 
 
 def inter_run_stability(log: DataFrame, keys: Sequence[str] = ("company_id", "tag_id")) -> DataFrame:

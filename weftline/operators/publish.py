@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.text import truncate
+from weftline.operators.pairs import basket_pairs
 from weftline.runtime import materialize, row_numbers, salted_join
 
 #: Transport keys of the company index.
@@ -113,9 +114,10 @@ def neighbor_explanations(edges: DataFrame, facts: DataFrame, share: float = 0.1
 
 def cooccurring(assignments: DataFrame, entity: str, label: str, top: int = 8) -> DataFrame:
     """label, other, n, rank: the labels that share most entities with each label (ties by label)."""
-    sets = assignments.where(F.col(entity).isNotNull() & F.col(label).isNotNull()).groupBy(entity).agg(F.collect_set(label).alias("s")).where(F.size("s") > 1)
-    firsts = sets.select(F.col("s"), F.explode("s").alias("label"))
-    counts = firsts.select("label", F.explode("s").alias("other")).where("label <> other").groupBy("label", "other").agg(F.count(F.lit(1)).alias("n"))
+    each = assignments.where(F.col(entity).isNotNull() & F.col(label).isNotNull()).select(F.col(entity).alias("basket"), F.col(label).alias("item")).distinct()
+    each = materialize(each, "assignments")
+    pairs = basket_pairs(each, each.groupBy("basket").agg(F.count(F.lit(1)).alias("c"))).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n"))
+    counts = pairs.select(F.explode(F.array(*(F.struct(F.col(a).alias("label"), F.col(b).alias("other")) for a, b in (("item_a", "item_b"), ("item_b", "item_a"))))).alias("s"), "n").select("s.*", "n")
     w = Window.partitionBy("label").orderBy(F.desc("n"), "other")
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 

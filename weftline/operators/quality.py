@@ -124,6 +124,22 @@ def quality_report(companies: int, tags: DataFrame, features: DataFrame, judged:
     return one.select(rows.alias("r")).select("r.*")
 
 
+def report_details(tags: DataFrame, features: DataFrame, stability: DataFrame, gold: DataFrame | None = None, orphans: int = 20, top: int = 15) -> DataFrame:
+    """metric, key, value: what the report holds beside its rates. Facets of active tags, the most frequent tags, the first orphan and duplicate tags by id or key, stability between runs, and the score against gold labels (null where nothing matched)."""
+    rows = lambda df, m, k, v: df.select(F.lit(m).alias("metric"), k.cast("string").alias("key"), v.cast("double").alias("value"))
+    parts = [
+        rows(tags.where("state = 'active'").groupBy("facet").agg(F.count(F.lit(1)).alias("n")), "facet_distribution", F.col("facet"), F.col("n")),
+        rows(top_counts(features, "tag_id", top), "tag_prevalence_top", F.col("value"), F.col("n")),
+        rows(orphan_tags(tags, features).orderBy("tag_id").limit(orphans), "orphan_tags", F.col("tag_id"), F.lit(0)),
+        rows(duplicate_names(tags).orderBy("key").limit(10), "duplicate_tag_groups", F.col("key"), F.size("tag_ids")),
+    ]
+    for name, one in (("inter_run_stability", stability), ("reviewed_sample", gold)):
+        if one is not None:
+            pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in one.columns)))
+            parts.append(one.select(pairs.alias("p")).select(F.lit(name).alias("metric"), "p.key", "p.value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def top_counts(rows: DataFrame, column: str, n: int = 15) -> DataFrame:
     """value, n: the most frequent values, ties by value."""
     return rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(n)

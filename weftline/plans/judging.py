@@ -67,6 +67,13 @@ def quality_metrics(spark: SparkSession, d: str) -> DataFrame:
     return Q.quality_report(companies, table(spark, d, "tags"), J.sparse_features(last, companies), last).withColumn("value", F.round("value", 6))
 
 
+def quality_details(spark: SparkSession, d: str) -> DataFrame:
+    """The parts of the quality report that are lists."""
+    last = consolidated(spark, d)
+    features = J.sparse_features(last, last.select("company_id").distinct().count())
+    return Q.report_details(table(spark, d, "tags"), features, inter_run_stability(spark, d), gold_scores(spark, d)).withColumn("value", F.round("value", 6))
+
+
 def prevalence_top(spark: SparkSession, d: str) -> DataFrame:
     return Q.top_counts(sparse_features(spark, d), "tag_id", 15)
 
@@ -101,7 +108,7 @@ def norm_sql(x: str) -> str:
     return _NORM.replace("X", x, 1)
 
 
-QUERIES = {f.__name__: f for f in (finalize_last_wins, sparse_features, inter_run_stability, evidence_verification, gold_scores, quality_metrics, prevalence_top, decision_mix, resume_work, judged_pairs_cleaned)}
+QUERIES = {f.__name__: f for f in (finalize_last_wins, sparse_features, inter_run_stability, evidence_verification, gold_scores, quality_metrics, quality_details, prevalence_top, decision_mix, resume_work, judged_pairs_cleaned)}
 ORACLES = {
     "finalize_last_wins": f"WITH {_LAST} SELECT company_id, tag_id, judgment_id, decision, confidence, len(evidence)::BIGINT AS quotes FROM last",
     "sparse_features": f"WITH {_FEATURES} SELECT company_id, tag_id, raw_confidence, calibrated_confidence, round(w, 6) AS information_weight, round(calibrated_confidence * w, 6) AS feature_value FROM features",
@@ -131,6 +138,17 @@ ORACLES = {
         {{'m': 'duplicate_tag_rate', 'v': round(dup / greatest(1, active)::DOUBLE, 4)}}, {{'m': 'hard_negatives_judged', 'v': hard}}, {{'m': 'hard_negative_acceptance_rate', 'v': round(hy / greatest(1, hard)::DOUBLE, 4)}},
         {{'m': 'tag_prevalence_median', 'v': med}}] AS l FROM j, t, f, a, d)
       SELECT x.m AS metric, x.v::DOUBLE AS "value" FROM (SELECT unnest(l) AS x FROM m)""",
+    "quality_details": f"""WITH {_FEATURES}, g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY company_id, tag_id ORDER BY created_at, appended_at, judgment_id, decision) AS r1 FROM company_tag_judgments WHERE company_id IS NOT NULL AND tag_id IS NOT NULL) WHERE r1 = 1),
+      gc AS (SELECT count(*) AS m, count(*) FILTER (WHERE l.decision = 'yes' AND g.decision = 'yes') AS tp, count(*) FILTER (WHERE l.decision = 'yes' AND g.decision <> 'yes') AS fp, count(*) FILTER (WHERE l.decision <> 'yes' AND g.decision = 'yes') AS fn FROM last l JOIN g USING (company_id, tag_id)),
+      gr AS (SELECT *, tp / nullif(tp + fp, 0)::DOUBLE AS p, tp / nullif(tp + fn, 0)::DOUBLE AS q FROM gc),
+      st AS (SELECT count(*) AS n, round(avg(CASE WHEN a = b THEN 1.0::DOUBLE ELSE 0 END), 4) AS x, round(avg(c), 4) AS y FROM (SELECT count(*) AS n, min(decision) AS a, max(decision) AS b, max(confidence) - min(confidence) AS c FROM company_tag_judgments WHERE company_id IS NOT NULL AND tag_id IS NOT NULL GROUP BY company_id, tag_id HAVING count(*) > 1)),
+      du AS (SELECT {norm_sql("canonical_name")} AS nk, count(DISTINCT tag_id) AS n FROM tags WHERE state = 'active' GROUP BY 1 HAVING count(DISTINCT tag_id) > 1)
+      SELECT 'facet_distribution' AS metric, facet AS "key", count(*)::DOUBLE AS "value" FROM tags WHERE state = 'active' GROUP BY facet
+      UNION ALL SELECT 'tag_prevalence_top', tag_id, n FROM (SELECT tag_id, count(*) AS n FROM features GROUP BY tag_id ORDER BY n DESC, tag_id LIMIT 15)
+      UNION ALL SELECT 'orphan_tags', tag_id, 0 FROM (SELECT tag_id FROM tags WHERE state = 'active' AND tag_id NOT IN (SELECT tag_id FROM features) ORDER BY tag_id LIMIT 20)
+      UNION ALL SELECT 'duplicate_tag_groups', nk, n FROM (SELECT * FROM du ORDER BY nk LIMIT 10)
+      UNION ALL SELECT 'inter_run_stability', unnest(['repeated_pairs', 'decision_agreement', 'mean_confidence_delta']), unnest([n::DOUBLE, x, y]) FROM st
+      UNION ALL SELECT 'reviewed_sample', unnest(['matched_pairs', 'tp', 'fp', 'fn', 'precision', 'recall', 'f1']), unnest([m::DOUBLE, tp, fp, fn, round(p, 6), round(q, 6), round(2 * p * q / nullif(p + q, 0), 6)]) FROM gr""",
     "prevalence_top": f"""WITH {_FEATURES} SELECT tag_id AS "value", count(*) AS n FROM features GROUP BY tag_id ORDER BY n DESC, tag_id LIMIT 15""",
     "decision_mix": f"""WITH {_LAST} SELECT shortlist_reason, count(*) FILTER (WHERE decision = 'yes') AS yes, count(*) FILTER (WHERE decision = 'no') AS no,
       count(*) FILTER (WHERE decision = 'uncertain') AS uncertain FROM last GROUP BY shortlist_reason""",
