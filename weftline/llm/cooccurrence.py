@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.runtime import attach, bounded_broadcast, materialize, release, rows_of, salted_join
+from weftline.operators.pairs import basket_pairs
+from weftline.runtime import bounded_broadcast, materialize, release, rows_of
 
 
 def cooccurrence(
@@ -31,20 +32,8 @@ def cooccurrence(
     marginals = each.where("item IS NOT NULL").groupBy("item").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= min_pair)
     marginals = materialize(marginals, "marginals")
     kinds = rows_of(marginals)
-    long = materialize(sizes.where(F.col("c") > long_basket).select("basket", F.ceil(F.col("c") / long_basket).alias("k"), "c"), "long")
     kept = each.join(bounded_broadcast(marginals.select("item"), kinds, broadcast_items), "item", "left_semi")
-    kept = attach(kept, long, ["basket"], "c").withColumn("k", F.coalesce("k", F.lit(1).cast("long"))).withColumn("blk", F.pmod(F.xxhash64("item"), F.col("k")))
-    blocks = kept.groupBy("basket", "blk").agg(F.sort_array(F.collect_list("item")).alias("xs"), F.first("k").alias("k"))
-    if rows_of(long):
-        blocks = materialize(blocks, "blocks")
-    within = blocks.where(F.size("xs") > 1).select("xs", F.posexplode("xs").alias("p", "item_a"))
-    pairs = within.select("item_a", F.explode(F.slice("xs", F.col("p") + 2, F.size("xs"))).alias("item_b"))
-    if rows_of(long):
-        left = blocks.where("k > 1").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))).where("blk < other")
-        right = blocks.where("k > 1").select("basket", F.col("blk").alias("other"), F.col("xs").alias("ys"))
-        across = salted_join(left.select("basket", "blk", "other", "xs"), right, ["basket", "other"], "inner").repartition("basket", "blk", "other")
-        across = across.select("ys", F.explode("xs").alias("x")).select("x", F.explode("ys").alias("y"))
-        pairs = pairs.unionByName(across.select(F.least("x", "y").alias("item_a"), F.greatest("x", "y").alias("item_b")))
+    pairs = basket_pairs(kept, sizes, long_basket)
     counts = pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n_ab")).where(F.col("n_ab") >= min_pair)
     side = bounded_broadcast(marginals, kinds, broadcast_items)
     out = counts.join(side.select(F.col("item").alias("item_a"), F.col("c").alias("n_a")), "item_a")
@@ -52,5 +41,5 @@ def cooccurrence(
     lift = F.col("n_ab") * F.lit(float(n)) / (F.col("n_a").cast("double") * F.col("n_b"))
     out = out.select("item_a", "item_b", F.lit(n).cast("long").alias("n"), "n_a", "n_b", "n_ab", lift.alias("lift"), F.log2(lift).alias("pmi"))
     out = materialize(out, "pairs")
-    release(each, sizes, marginals, long, blocks)
+    release(each, sizes, marginals)
     return out
