@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from weftline import stages
 from weftline.config import load_config
 from weftline.operators import ontology, release, search
-from weftline.pipeline import Store
 from weftline.plans import catalog
 from weftline.runtime import session
 from weftline.sources.models import resolve_model
@@ -57,8 +56,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if a.command != "validate":
         for name in stages.STAGES if a.command == "run" else [a.command]:
-            ran = stages.run(r, name, a.force)
-            print(name, json.dumps(Store(spark, a.out).manifest[name]["counts"]) if ran else "is fresh")
+            if not stages.run(r, name, a.force, lambda stage, counts: print(stage, json.dumps(counts))):
+                print(name, "is fresh")
     if a.command in ("validate", "run"):
         gates = release.published_gates(spark, f"{a.out}/public") if a.out else catalog.QUERIES["release_gates"](spark, a.data)
         gates.show(100, truncate=False)

@@ -26,14 +26,27 @@ def gate(name: str, violations: DataFrame, sample: Column) -> DataFrame:
 
 
 def run_gates(spark: SparkSession, checks: dict[str, Callable[[], DataFrame]]) -> DataFrame:
-    """All gates as one table; an exception inside a check makes a failed row with its message."""
-    out = []
+    """All gates as one table, in one job; an exception inside a check makes a failed row with its message."""
+    rows: list[tuple] = []
+    built: dict[str, DataFrame] = {}
+
+    def broken(name: str, e: Exception) -> tuple:
+        return (name, False, -1, [], f"{type(e).__name__}: {str(e)[:200]}")
+
     for name, check in checks.items():
         try:
-            out.append(spark.createDataFrame(check().collect(), GATE))  # one row a gate
+            built[name] = check()
         except Exception as e:  # noqa: BLE001
-            out.append(spark.createDataFrame([(name, False, -1, [], f"{type(e).__name__}: {str(e)[:200]}")], GATE))
-    return reduce(DataFrame.unionByName, out)
+            rows.append(broken(name, e))
+    try:
+        rows += [tuple(r) for r in reduce(DataFrame.unionByName, built.values()).collect()] if built else []  # one row a gate
+    except Exception:  # noqa: BLE001, at least one of them: each by itself
+        for name, df in built.items():
+            try:
+                rows += [tuple(r) for r in df.collect()]
+            except Exception as e:  # noqa: BLE001
+                rows.append(broken(name, e))
+    return spark.createDataFrame(rows, GATE)
 
 
 def missing_values(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -234,8 +234,8 @@ def log_run(r: Run, stage: str, started: datetime, counts: dict[str, int], error
     append(r.spark.createDataFrame([row], ddl), f"{r.out}/runs.parquet")
 
 
-def run(r: Run, name: str, force: bool = False) -> bool:
-    """Runs a stage unless it is fresh, and logs it; True if it ran."""
+def run(r: Run, name: str, force: bool = False, on_done: Callable[[str, dict[str, int]], None] | None = None) -> bool:
+    """Runs a stage unless it is fresh, and logs it; True if it ran. ``on_done`` is called with its name and counts once it is recorded."""
     stage, store, started = STAGES[name], Store(r.spark, r.out), datetime.now(UTC)
     made: dict[str, int] = {}
 
@@ -251,6 +251,8 @@ def run(r: Run, name: str, force: bool = False) -> bool:
         raise
     if ran:
         log_run(r, name, started, made, None)
+        if on_done is not None:
+            on_done(name, dict(made))
     return ran
 
 
