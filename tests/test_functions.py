@@ -59,7 +59,10 @@ def test_vectors(spark):
     assert one(spark, V.l2_normalize(a), V.l2_normalize(z)) == ([0.6, 0.8], [0.0, 0.0])
     got = one(spark, V.combine({"description": a, "metadata": z, "tags": n}))[0]
     assert got == pytest.approx([0.6, 0.8])
-    assert one(spark, V.combine({"description": z, "metadata": n, "tags": n}))[0] is None
+    nothing = {"description": z, "metadata": n, "tags": n}
+    assert one(spark, V.combine(nothing, strict=False))[0] is None
+    with pytest.raises(Exception, match="no vector is there"):
+        one(spark, V.combine(nothing))
     both = one(spark, V.combine({"description": F.array(F.lit(1.0), F.lit(0.0)), "tags": F.array(F.lit(0.0), F.lit(1.0))}))[0]
     assert math.hypot(*both) == pytest.approx(1.0) and both[0] / both[1] == pytest.approx(0.55 / 0.25)
     assert one(spark, V.quantize_int8(a, F.lit(4.0)))[0] == [95, 127]
