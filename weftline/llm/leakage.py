@@ -16,8 +16,8 @@ items the hits of a chunk are taken in parts of at most ``MAX_HITS``: fewer docu
 then fewer items; nothing is left out.
 
 Defined cases: null texts and texts without letters or digits match nothing; an item with fewer
-than ``words`` words is one passage; an item with a passage shorter than a q-gram is searched for
-directly and exactly; items with equal canonical texts are searched once and found under all their
+than ``words`` words is one passage; an item with a passage shorter than a q-gram is looked up
+directly and exactly, at the starts of a document's words; items with equal canonical texts are searched once and found under all their
 ids; rows with one document id are one document, and what they cover of an item is united.
 """
 
@@ -66,7 +66,9 @@ class ItemIndex:
 
     def __init__(self, items: list[tuple[int, str]], q: int, edits: int, words: int):
         self.q, self.edits, self.words = q, edits, words
-        self.texts, self.windows, self.least, self.tiny, self.n_words = [], [], [], [], []
+        self.texts, self.windows, self.least, self.n_words = [], [], [], []
+        self.tiny: dict[str, list[tuple]] = {}  # passages of items with one shorter than a q-gram: ids, place, words, words of the item
+        self.longest = 1
         self.ids: list[list[int]] = []
         by_text: dict[str, set[int]] = {}
         for item_id, text in items:
@@ -78,8 +80,10 @@ class ItemIndex:
             ends = [i for i, ch in enumerate(c) if ch == " "]  # blanks around the words
             k = min(words, len(ends) - 1)
             windows = [(ends[i], ends[i + k] + 1) for i in range(len(ends) - k)]
+            self.longest = max(self.longest, len(c))
             if min(b - a for a, b in windows) < q:
-                self.tiny.append((sorted(ids), c, len(ends) - 1, k, windows))
+                for w, (a, b) in enumerate(windows):
+                    self.tiny.setdefault(c[a:b], []).append((sorted(ids), w, k, len(ends) - 1))
                 continue
             at = len(self.ids)
             self.ids.append(sorted(ids))
@@ -101,6 +105,7 @@ class ItemIndex:
         self.marks[(self.keys >> np.uint64(44)).astype(np.int64)] = True
         self.least = np.array(self.least, np.int64)
         self.codes = [_codes(t) for t in self.texts]
+        self.lengths = sorted({len(t) for t in self.tiny})
 
     def budget(self, length: np.ndarray) -> np.ndarray:
         """Edits allowed in passages of some lengths, few enough for the lemma to keep at least one q-gram."""
@@ -186,7 +191,7 @@ class _Found:
 
 def find_leaks(docs: list[tuple[int, str]], ix: ItemIndex, chunk: int = 2_000_000, segment: int = 1_000_000) -> list[tuple]:
     """Rows (doc_id, item_id, edits, cover, exact, item_words) of a list of documents."""
-    overlap = 2 * max([len(t) for t in ix.texts] + [len(t[1]) for t in ix.tiny] + [1])
+    overlap = 2 * ix.longest
     pieces: list[tuple[int, str]] = []
     for doc_id, text in docs:
         c = canonical(text)
@@ -203,10 +208,10 @@ def find_leaks(docs: list[tuple[int, str]], ix: ItemIndex, chunk: int = 2_000_00
             size += len(pieces[at][1]) + 1
             at += 1
         _scan(group, ix, found)
-        for ids, c, n_words, k, windows in ix.tiny:
-            for doc_id, text in group:
-                for w, (a, b) in enumerate(windows):
-                    if c[a:b] in text:
+        for doc_id, text in group if ix.tiny else ():
+            for p in (i for i, ch in enumerate(text) if ch == " "):
+                for n in ix.lengths:
+                    for ids, w, k, n_words in ix.tiny.get(text[p : p + n], ()):
                         found.add(doc_id, ids, 0, w, k, n_words)
     return found.rows()
 
