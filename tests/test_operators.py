@@ -65,6 +65,47 @@ def test_sparse_neighbours(spark):
         assert got == [("b", 1.0), ("c", 0.5)]
 
 
+def test_sparse_neighbours_leave_out_only_what_cannot_be_best(spark):
+    """Long lists, ties and several parts, against all pairs; no row is repeated for blocks."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    n, labels = 4000, 30
+    held = rng.random((n, labels)) < 0.6 / (1 + np.arange(labels) % 10)
+    w = np.where(held, rng.integers(1, 12, (n, labels)) / 8, 0.0)
+    index = N._Lists(np.cumsum((w > 0).sum(axis=1)), *(x(w) for x in (lambda w: np.nonzero(w)[1].astype(np.int32), lambda w: w[w > 0])), labels)
+    for me in range(0, n, 37):
+        if w[me].any():
+            m = np.minimum(w, w[me]).sum(axis=1)
+            sims = np.round(m / (w.sum(axis=1) + w[me].sum() - m), 9)
+            sims[me] = 0
+            want = [i for i in np.argsort(-sims, kind="stable")[:8] if sims[i] > 0]
+            got, s = index.best(np.nonzero(w[me])[0], w[me][w[me] > 0], 8, me)
+            assert got.tolist() == want and np.allclose(s, sims[want], atol=1e-9)
+    f = spark.createDataFrame([(f"e{i:03}", f"t{j}", float(w[i, j])) for i in range(300) for j in range(labels) if held[i, j]] + [(None, "t1", 1.0), ("e001", None, 1.0)], "entity string, label string, value double")
+    one = N.sparse_neighbors(f, 4)
+    assert "CoGroup" not in one._jdf.queryExecution().toString()
+    assert rows(one) == rows(N.sparse_neighbors(f, 4, block=500)) and None not in {r["neighbor"] for r in one.collect()}
+
+
+def test_dense_neighbours_of_a_large_base_are_not_repeated(spark):
+    """Several parts against all pairs, near ties among them; the base and the queries are not repeated in a shuffle."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    v = rng.standard_normal((700, 8))
+    v[350:] = v[:350] + rng.standard_normal((350, 8)) * 1e-8
+    v[600:] = v[0]
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    sims = np.round(v @ v.T, 9)
+    np.fill_diagonal(sims, -9)
+    want = [(i, int(j)) for i in range(len(v)) for j in np.argsort(-sims[i], kind="stable")[:5]]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    for got in (N.dense_neighbors(df, df, 5), N.dense_neighbors(df, df, 5, block=100, broadcast_numbers=0)):
+        assert "CoGroup" not in got._jdf.queryExecution().toString()
+        assert [(r["id"], r["neighbor_id"]) for r in got.orderBy("id", "rank").collect()] == want
+
+
 def test_dense_neighbours_in_blocks_with_ties(spark):
     v = spark.createDataFrame([(i, [1.0, 0.0] if i % 2 else [0.0, 1.0]) for i in range(9)], "id long, v array<double>")
     a, b = rows(N.dense_neighbors(v, v, 3)), rows(N.dense_neighbors(v, v, 3, block=2, broadcast_numbers=0))
@@ -240,6 +281,13 @@ def test_explanations_use_rare_facts(spark):
     assert rows(B.neighbor_explanations(e, f)) == [(1, 2, ["batch: W12"])]
 
 
+def test_explanations_search_for_their_edges_once(spark):
+    f = spark.createDataFrame([(i, ["batch: W12"] if i in (1, 2) else []) for i in range(20)], "id long, facts array<string>")
+    e = spark.createDataFrame([(1, 2), (3, 4)], "id long, neighbor_id long").mapInPandas(lambda bs: bs, "id long, neighbor_id long")
+    out = B.neighbor_explanations(e, f)
+    assert "MapInPandas" not in out._jdf.queryExecution().toString() and rows(out) == [(1, 2, ["batch: W12"])]
+
+
 def test_index_round_trip(spark):
     c = three(spark).withColumn("name", F.lit("N")).withColumn("one_liner", F.lit("")).withColumn("team_size", F.lit(0))
     compact = B.compact_index(c)

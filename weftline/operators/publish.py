@@ -99,14 +99,15 @@ def neighbor_explanations(edges: DataFrame, facts: DataFrame, share: float = 0.1
     """id, neighbor_id, shared: facts both ends have that few entities have, rarest first.
 
     ``facts``: id, facts. A fact of more than ``max(2, share of all)`` entities explains nothing and
-    is dropped before the joins.
+    is dropped before the joins. The edges, which may come from a search, are made once.
     """
+    edges = materialize(edges.select("id", "neighbor_id"), "edges")
     n = facts.count()
     cutoff = max(2, int(n * share))
     long = facts.select("id", F.explode("facts").alias("fact"))
     rare = long.groupBy("fact").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= cutoff)
     kept = materialize(long.join(rare, "fact").groupBy("id").agg(F.collect_set(F.struct("df", "fact")).alias("own")), "facts")
-    both = salted_join(edges.select("id", "neighbor_id"), kept.select("id", "own"), ["id"], "inner")
+    both = salted_join(edges, kept.select("id", "own"), ["id"], "inner")
     both = salted_join(both, kept.select(F.col("id").alias("neighbor_id"), F.col("own").alias("theirs")), ["neighbor_id"], "inner")
     shared = F.slice(F.array_sort(F.array_intersect("own", "theirs")), 1, most)
     return both.select("id", "neighbor_id", F.transform(shared, lambda f: f["fact"]).alias("shared")).where(F.size("shared") > 0)
