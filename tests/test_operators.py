@@ -288,6 +288,16 @@ def test_explanations_search_for_their_edges_once(spark):
     assert "MapInPandas" not in out._jdf.queryExecution().toString() and rows(out) == [(1, 2, ["batch: W12"])]
 
 
+def test_shared_items_travel_as_numbers(spark, monkeypatch):
+    e = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "id long, neighbor_id long")
+    i = spark.createDataFrame([(1, "b"), (1, "a"), (1, "c"), (2, "c"), (2, "b"), (2, "x"), (3, "z")], "id long, k string")
+    k = spark.createDataFrame([("a", "A"), ("b", None), ("c", "C"), ("z", "Z")], "k string, name string")
+    coded = B.shared_items(e, i, k, "k", ["k"], "name", 2)
+    assert rows(coded) == [(1, 2, [None, "C"])] and "element_at" in coded._jdf.queryExecution().toString()
+    monkeypatch.setattr(B, "CODED", 0)
+    assert rows(B.shared_items(e, i, k, "k", ["k"], "name", 2)) == [(1, 2, [None, "C"])]
+
+
 def test_index_round_trip(spark):
     c = three(spark).withColumn("name", F.lit("N")).withColumn("one_liner", F.lit("")).withColumn("team_size", F.lit(0))
     compact = B.compact_index(c)

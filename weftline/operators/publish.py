@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from weftline.functions.text import truncate
 from weftline.operators.pairs import basket_pairs
-from weftline.runtime import materialize, row_numbers, salted_join
+from weftline.runtime import materialize, row_numbers, rows_of, salted_join
 
+#: Of at most so many kinds of items the numbers stand for the names.
+CODED = 5_000
 #: Transport keys of the company index.
 COMPANY_KEYS = {
     "i": "company_id", "n": "name", "o": "one_liner", "b": "batch", "y": "batch_year", "s": "status", "g": "stage", "d": "industry", "u": "subindustry", "r": "regions", "l": "all_locations",
@@ -106,11 +108,26 @@ def neighbor_explanations(edges: DataFrame, facts: DataFrame, share: float = 0.1
     cutoff = max(2, int(n * share))
     long = facts.select("id", F.explode("facts").alias("fact"))
     rare = long.groupBy("fact").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= cutoff)
-    kept = materialize(long.join(rare, "fact").groupBy("id").agg(F.collect_set(F.struct("df", "fact")).alias("own")), "facts")
-    both = salted_join(edges, kept.select("id", "own"), ["id"], "inner")
-    both = salted_join(both, kept.select(F.col("id").alias("neighbor_id"), F.col("own").alias("theirs")), ["neighbor_id"], "inner")
-    shared = F.slice(F.array_sort(F.array_intersect("own", "theirs")), 1, most)
-    return both.select("id", "neighbor_id", F.transform(shared, lambda f: f["fact"]).alias("shared")).where(F.size("shared") > 0)
+    return shared_items(edges, long, rare, "fact", ["df", "fact"], "fact", most)
+
+
+def shared_items(edges: DataFrame, items: DataFrame, kinds: DataFrame, key: str, order: list[str], name: str, most: int) -> DataFrame:
+    """id, neighbor_id, shared: the names of the first items in an order that both ends have, where they share any.
+
+    ``items``: id, ``key``; ``kinds``: ``key``, the columns of the order (the key among them) and the name. An
+    edge is shuffled with its ends' items as their numbers in the order, not as texts; only of more than
+    ``CODED`` kinds are they texts.
+    """
+    kinds = materialize(row_numbers(kinds, order, "code"), "kinds")
+    coded = rows_of(kinds) <= CODED
+    item = F.col("code").cast("int") if coded else F.struct(*dict.fromkeys([*order, name]))
+    own = items.join(F.broadcast(kinds), key) if coded else salted_join(items, kinds, [key], "inner")
+    sets = materialize(own.groupBy("id").agg(F.collect_set(item).alias("own")), "items")
+    both = salted_join(edges.select("id", "neighbor_id"), sets, ["id"], "inner", rows=getattr(edges, "_weftline_rows", None))
+    both = salted_join(both, sets.select(F.col("id").alias("neighbor_id"), F.col("own").alias("theirs")), ["neighbor_id"], "inner")
+    both = both.select("id", "neighbor_id", F.slice(F.array_sort(F.array_intersect("own", "theirs")), 1, most).alias("shared")).where(F.size("shared") > 0)
+    names = F.array(*(F.lit(r[0]) for r in kinds.orderBy("code").select(name).collect())).cast("array<string>") if coded else None
+    return both.withColumn("shared", F.transform("shared", lambda x: F.element_at(names, x + 1) if coded else x[name]))
 
 
 def cooccurring(assignments: DataFrame, entity: str, label: str, top: int = 8) -> DataFrame:

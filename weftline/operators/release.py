@@ -63,12 +63,9 @@ def explained_neighbors(kept: DataFrame, features: DataFrame, tags: DataFrame, f
     ``facts``: id, facts. Each unordered pair is looked at once, whatever the number of its spaces.
     """
     pairs = kept.select(F.col("company_id").alias("id"), F.col("neighbor_company_id").alias("neighbor_id"), "space")
-    named = salted_join(features.select("company_id", "tag_id").distinct(), tags.select("tag_id", F.col("canonical_name").alias("name")).dropDuplicates(["tag_id"]), ["tag_id"], "inner")
-    sets = materialize(named.groupBy(F.col("company_id").alias("id")).agg(F.sort_array(F.collect_set(F.struct("tag_id", "name"))).alias("own")), "tag-sets")
-    t = pairs.where(F.col("space").isin(*TAG_SPACES)).select("id", "neighbor_id").distinct()
-    t = salted_join(salted_join(t, sets, ["id"], "inner"), sets.select(F.col("id").alias("neighbor_id"), F.col("own").alias("theirs")), ["neighbor_id"], "inner")
-    shared = F.transform(F.slice(F.array_sort(F.array_intersect("own", "theirs")), 1, most_tags), lambda x: x["name"])
-    t = t.select("id", "neighbor_id", shared.alias("shared_tags")).where(F.size("shared_tags") > 0)
+    t = materialize(pairs.where(F.col("space").isin(*TAG_SPACES)).select("id", "neighbor_id").distinct(), "tag-edges")
+    names = tags.select("tag_id", F.col("canonical_name").alias("name")).where("tag_id IS NOT NULL").dropDuplicates(["tag_id"])
+    t = P.shared_items(t, features.select(F.col("company_id").alias("id"), "tag_id").distinct(), names, "tag_id", ["tag_id"], "name", most_tags).withColumnRenamed("shared", "shared_tags")
     m = P.neighbor_explanations(pairs.where(F.col("space").isin(*FACT_SPACES)).select("id", "neighbor_id").distinct(), facts, most=most_facts).withColumnRenamed("shared", "shared_metadata")
     out = kept.withColumnsRenamed({"company_id": "id", "neighbor_company_id": "neighbor_id"}).join(t, ["id", "neighbor_id"], "left").join(m, ["id", "neighbor_id"], "left")
     return out.select(

@@ -211,7 +211,8 @@ def _release(spark: SparkSession, d: str) -> tuple[str, dict[str, int]]:
     """A whole release of the tables, written below the shared folder: its root and its counts."""
     c = D.companies(spark, d).withColumn("industries", F.array().cast("array<string>")).withColumn("all_locations", F.lit(None).cast("string")).withColumn("launched_at", F.lit(None).cast("timestamp"))
     c = materialize(c.withColumn("metadata_document", N.metadata_document()), "companies")
-    last, features = _judged(spark, d)
+    last = materialize(consolidated(spark, d, DETAIL), "judgments")  # read by the features, the report and the details
+    features = J.sparse_features(last, last.select("company_id").distinct().count())
     tags = table(spark, d, "tags").dropDuplicates(["tag_id"])
     features = materialize(features.join(c.select("company_id"), "company_id", "left_semi"), "features")
     vectors = materialize(SP.embedded(SP.space_documents(c, features, tags), Deterministic(16)), "vectors")
